@@ -1 +1 @@
-
+"""Operators over catalogue tables."""

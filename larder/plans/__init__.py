@@ -1 +1 @@
-
+"""Registered queries over adapter views, each with the SQL that states it."""

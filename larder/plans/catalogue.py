@@ -1,11 +1,15 @@
-"""Registered catalogue queries and their SQL."""
+"""All registered catalogue queries and their SQL."""
 
 from __future__ import annotations
 
+from larder.plans import jobs, matching, parsing, stats, votes
+
+_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES}
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for name, (query, _) in _ALL.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _ALL.items() if sql}
