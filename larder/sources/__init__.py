@@ -1 +1 @@
-
+"""Reading and writing catalogue files."""

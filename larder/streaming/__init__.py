@@ -1 +1 @@
-
+"""Structured Streaming in place of polling queues."""
