@@ -88,3 +88,14 @@ SEARCH_TERMS = (
     ("banana", "banana raw"), ("apple", "apple raw with skin"), ("avocado", "avocado raw"), ("strawberry", "strawberries raw"),
     ("blueberry", "blueberries raw"), ("raspberry", "raspberries raw"), ("blackberry", "blackberries raw"),
 )
+BRAND_SPELLINGS = (
+    ("coc cola", "Coca-Cola"), ("coca cola", "Coca-Cola"), ("budweser", "Budweiser"), ("budwieser", "Budweiser"),
+    ("mcdonal", "McDonald's"), ("mcdonalds", "McDonald's"), ("nestel", "Nestlé"), ("nestle", "Nestlé"), ("kellogs", "Kellogg's"),
+    ("kelloggs", "Kellogg's"), ("heinze", "Heinz"), ("snyders", "Snyder's of Hanover"), ("snydrs", "Snyder's of Hanover"), ("milka", "Milka"),
+)
+PRODUCT_TYPES = (
+    ("cola", "beverage"), ("beer", "beverage"), ("chocolate", "confectionery"), ("choc", "confectionery"), ("cereal", "breakfast"),
+    ("flakes", "breakfast"), ("pretzel", "snack"), ("pretzl", "snack"), ("chips", "snack"), ("crisps", "snack"),
+)
+FOOD_WORDS = ("food", "snack", "chocolate", "bread", "cheese", "meat", "fruit", "vegetable")
+DRINK_WORDS = ("drink", "beverage", "water", "juice", "soda", "beer", "wine", "coffee", "tea")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from larder.plans import jobs, matching, parsing, stats, votes
+from larder.plans import enrichment, jobs, matching, parsing, stats, votes
 
-_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES}
+_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES, **enrichment.QUERIES}
 
 
 def queries() -> dict:
