@@ -2,16 +2,20 @@
 
 Each source's documents are shuffled by a hash and repeated at most `most` times
 over. A copy's virtual finish time is the number of its source's tokens up to
-and with it, divided by the source's weight. All copies are range-sorted by that
-time, and the order is cut where the total budget is used up. A source that runs
-out ends early, and the others go on in the ratio of their weights, so each
-comes within one document of its target (see targets()).
+and with it, divided by the source's weight. All copies stand in the order of
+these times, and the order is cut at the time at which all sources together,
+each served by its weight until it runs out, have used up the total budget. So
+a source that runs out ends early, and the others go on in the ratio of their
+weights. A copy that the cut goes through is taken if at least half of it lies
+before; so each source comes within half a document of its target. (A cut at
+the running sum of whole documents would hand a long document that does not fit
+to the other sources.) mixed_documents() range-sorts the mix by finish time.
 
 Null sources are a source of their own, the last. Null texts have no tokens.
 Rows that are alike in all that orders them are alike in the result. An empty
 table, or one without tokens, gives every row zero copies. No group is gathered:
 cumulative sums come from hash buckets of bounded expected size, whose totals
-are carried over, and from range partitions.
+are carried over.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ from larder.llm.scratch import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(totals: DataFrame, weights: list[float], share: float, most: float, scratch: Scratch) -> DataFrame:
-    """(source, source_size) -> with weight and target.
+def targets(totals: DataFrame, weights: list[float], share: float, most: float, scratch: Scratch) -> tuple[DataFrame, float]:
+    """(source, source_size) -> with weight and target; and the virtual time at which the budget is used up.
 
     Weights go to the sources by code point (null last), repeating. Targets
     share `share` times all tokens by weight; one that would pass `most` times
@@ -50,7 +54,7 @@ def targets(totals: DataFrame, weights: list[float], share: float, most: float,
         level = new
     if budget == 0:
         level = 0.0
-    return placed.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
+    return placed.withColumn("target", F.least(cap, F.col("weight") * F.lit(level))), level
 
 
 def mix(
@@ -62,7 +66,9 @@ def mix(
     seed: int = 0,
     tokens: str | None = None,
 ) -> DataFrame:
-    """Add size, source_size, weight, target and copies (how often the mix takes the document).
+    """(doc_id, source, size, source_size, weight, target, finish, copies): copies is how often the mix takes the document.
+
+    finish is the first copy's virtual finish time; each further one comes source_size / weight later.
 
     tokens: a column with each document's tokens; by default its words are counted.
     """
@@ -78,8 +84,7 @@ def mix(
     # what decides is narrow; texts are not carried through the sorts
     narrow = scratch.keep(keyed.select("source", "doc_id", "size", "_h"))
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    aims = scratch.keep(targets(totals, list(weights), share, most, scratch))
-    budget = int(share * (aims.agg(F.sum("source_size")).first()[0] or 0))
+    aims, level = targets(totals, list(weights), share, most, scratch)
     # a hash has no ties but between equal ids, so its leading digits make even buckets of any source
     rows = narrow.count()
     digits = max(1, min(8, len(f"{max(1, rows // 2000):x}")))
@@ -100,48 +105,41 @@ def mix(
         .withColumn("_upto", F.col("_in") + F.col("_offset"))
         .select("source", "doc_id", "size", "_h", "source_size", "weight", "target", "_upto")
     )
-    queued = scratch.keep(queued)
-    copies = queued.select(
-        "source", "doc_id", "size", "_h", "weight", F.explode(F.array(*[F.lit(k) for k in range(most)])).alias("_copy"),
-        F.col("_upto"), "source_size",
-    ).select(
-        ((F.col("_upto") + F.col("_copy") * F.col("source_size")) / F.col("weight")).alias("finish"),
-        "_h", "doc_id", "source", "size",
+    middle = F.col("_upto") - F.col("size") / 2
+    taken = [((middle + k * F.col("source_size")) / F.col("weight") <= F.lit(level)).cast("int") for k in range(most)]
+    return queued.select(
+        "doc_id", "source", "size", "source_size", "weight", "target", (F.col("_upto") / F.col("weight")).alias("finish"),
+        F.when(F.col("size") > 0, sum(taken)).otherwise(0).alias("copies"),
     )
-    order = ["finish", "_h", "doc_id", "source"]
-    line = prefix_sums(copies, [], order, {"size": "before"}, scratch)
-    past = line.where((F.col("before") + F.col("size") > budget) & (F.col("size") > 0))
-    cut = past.orderBy(*order).select(*order).first()
-    finish = lambda k: (F.col("_upto") + k * F.col("source_size")) / F.col("weight")
-    taken = F.lit(0)
-    for k in range(most):
-        if cut is None:
-            taken = taken + F.when(F.col("size") > 0, 1).otherwise(0)
-        else:
-            at = F.struct(finish(k).alias("a"), F.col("_h").alias("b"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("c"), F.coalesce("source", F.lit("")).alias("d"))
-            end = F.struct(
-                F.lit(cut["finish"]).alias("a"), F.lit(cut["_h"]).alias("b"),
-                F.lit(-(1 << 63) if cut["doc_id"] is None else cut["doc_id"]).cast("long").alias("c"), F.lit(cut["source"] or "").alias("d"),
-            )
-            taken = taken + F.when((F.col("size") > 0) & (at < end), 1).otherwise(0)
-    return queued.select("doc_id", "source", "size", "source_size", "weight", "target", "_h", taken.cast("int").alias("copies"))
 
 
 def mixed_documents(documents: DataFrame, **how) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with their own columns.
+    """The documents of the mix, each as often as it is taken, with their own columns, in the order of the mix.
 
-    Rows of one id and source that differ only in their texts are told apart by size and order.
+    Rows of one id, source and size take the decisions of such rows in any order.
     """
     got = mix(documents, **how)
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    alike = Window.partitionBy("doc_id", "source", "size").orderBy(F.col("copies").desc())
-    decided = got.where("copies > 0").withColumn("_n", F.row_number().over(alike)).select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "_n", "copies"
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
+    id_, source = F.coalesce("doc_id", F.lit(-(1 << 63))), F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    decided = (
+        got.groupBy(id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("copies", "finish")), asc=False).alias("each"),
+            F.first(F.col("source_size") / F.col("weight")).alias("_lap"),
+        )
+        .where("each[0].copies > 0")
     )
-    same = Window.partitionBy("doc_id", "source", "_size").orderBy(F.md5("text"))
-    numbered = documents.withColumn("_size", size).withColumn("_row", F.row_number().over(same))
-    joined = numbered.join(
-        decided,
-        F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")) & (F.col("_row") == F.col("_n")),
+    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.lit(0)))
+    numbered = documents.select(
+        F.struct(*documents.columns).alias("doc"), id_.alias("_d"), source.alias("_s"), words.alias("_z")
+    ).withColumn("_n", nth)
+    return (
+        numbered.join(decided, ["_d", "_s", "_z"])
+        .withColumn("way", F.element_at("each", F.col("_n")))
+        .where("way.copies > 0")
+        .select("doc", "_d", "_lap", "way.finish", F.explode(F.sequence(F.lit(0), F.col("way.copies") - 1)).alias("_k"))
+        .withColumn("finish", F.col("finish") + F.col("_k") * F.col("_lap"))
+        .repartitionByRange("finish", "_d")
+        .sortWithinPartitions("finish", "_d")
+        .select("doc.*")
     )
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*documents.columns)

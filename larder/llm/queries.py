@@ -108,14 +108,11 @@ p AS (SELECT *, (t.total - coalesce(sum(2.0 * source_size) OVER w, 0)) / sum(wei
       FROM s, t WINDOW w AS (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                        v AS (ORDER BY 2.0 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 l AS (SELECT coalesce(max(level) FILTER (WHERE level * weight <= 2.0 * source_size), 0) AS level FROM p),
-q AS (SELECT d.*, s.source_size, least(2.0 * s.source_size, s.weight * l.level)::DOUBLE AS target, weight,
-             sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, l),
-c AS (SELECT q.*, (upto + k * source_size)::DOUBLE / weight AS finish FROM q, (VALUES (0), (1)) AS copies(k)),
-o AS (SELECT *, sum(size) OVER (ORDER BY finish, h, doc_id NULLS FIRST, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_upto FROM c),
-x AS (SELECT *, coalesce(bool_or(total_upto > (SELECT floor(total) FROM t) AND size > 0) OVER (ORDER BY finish, h, doc_id NULLS FIRST, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS past FROM o)
-SELECT doc_id, size, source_size, target, sum(CASE WHEN past THEN 0 ELSE size END)::BIGINT AS taken
-FROM x GROUP BY doc_id, source, h, size, source_size, target, upto
+q AS (SELECT d.*, s.source_size, least(2.0 * s.source_size, s.weight * l.level)::DOUBLE AS target, weight, l.level,
+             (sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE AS upto
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, l)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN size = 0 THEN 0 ELSE size * (((upto - size / 2.0::DOUBLE) / weight <= level)::INT + ((upto - size / 2.0::DOUBLE + source_size) / weight <= level)::INT) END)::BIGINT AS taken FROM q
 """
 
 OP3 = """
