@@ -99,3 +99,10 @@ PRODUCT_TYPES = (
 )
 FOOD_WORDS = ("food", "snack", "chocolate", "bread", "cheese", "meat", "fruit", "vegetable")
 DRINK_WORDS = ("drink", "beverage", "water", "juice", "soda", "beer", "wine", "coffee", "tea")
+DESCRIPTION_BRANDS = ("chiquita", "bio", "organic", "pink lady", "driscoll", "dole", "del monte")
+HEADER_WORDS = (
+    "fleisch", "fisch", "rind", "kalb", "schwein", "hähnchen", "pute", "obst", "gemüse", "bananen", "äpfel", "birnen", "beeren",
+    "joghurt", "dessert", "milch", "butter", "käse", "sahne", "backwaren", "brot", "brötchen", "kuchen", "getränke", "wasser",
+    "saft", "limonade", "bier", "wein", "tiefkühl", "eis", "pizza", "fertig", "categories", "vegan",
+)
+MEAT_WORDS = ("fleisch", "fisch", "rind", "kalb", "schwein", "hähnchen", "pute")

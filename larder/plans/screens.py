@@ -212,6 +212,53 @@ EXTRACTION_RATES = f"""WITH {v.JOB}, p AS (SELECT job_id, count(*) AS found, cou
 b AS (SELECT floor(100.0 * taken / found)::BIGINT AS rate, count(*) AS jobs, sum(found)::BIGINT AS files FROM p GROUP BY rate)
 SELECT *, (sum(jobs) OVER (ORDER BY rate))::BIGINT AS jobs_upto FROM b"""
 
+def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text read as brand and name: the first known brand in title case, taken out of the name."""
+    text = F.lower(F.concat_ws(" ", "product_name", F.lit("von"), "brand"))
+    found = F.try_element_at(F.filter(F.array(*[F.lit(b) for b in fixed.DESCRIPTION_BRANDS]), lambda b: F.contains(text, b)), F.lit(1))
+    name = F.when(found.isNull(), text).otherwise(F.trim(F.regexp_replace(F.replace(text, found, F.lit("")), " +", " ")))
+    return v.grocery(spark, sf_dir).select("product_id", F.initcap(F.coalesce(found, F.lit("generic"))).alias("brand"), name.alias("name"))
+
+
+def _descriptions_sql() -> str:
+    text = "lower(product_name || ' von ' || brand)"
+    hits = [f"contains({text}, '{b}')" for b in fixed.DESCRIPTION_BRANDS]
+    pick = lambda f: "CASE " + " ".join(f"WHEN {h} THEN {f(b)}" for h, b in zip(hits, fixed.DESCRIPTION_BRANDS))
+    title = pick(lambda b: f"'{b.title()}'") + " ELSE 'Generic' END"
+    name = pick(lambda b: f"trim(regexp_replace(replace({text}, '{b}', ''), ' +', ' ', 'g'))") + f" ELSE {text} END"
+    return f"WITH {v.GROCERY_SQL} SELECT product_id, {title} AS brand, {name} AS name FROM v_grocery"
+
+
+def header_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A screen's subcategory from its text regions: regions with a keyword in the upper part, meat first, then the largest."""
+    words = F.array(*[F.lit(w) for w in fixed.HEADER_WORDS])
+    b = v.box(spark, sf_dir).withColumn("word", F.element_at(words, (F.col("x") % len(fixed.HEADER_WORDS) + 1).cast("int")))
+    upper = b.where((F.col("y") < 630) & (F.col("w") * F.col("h") > 25000))
+    best = F.max(F.struct(F.col("word").isin(*fixed.MEAT_WORDS).alias("meat"), (F.col("w") * F.col("h")).alias("area"), (-F.col("y")).alias("y"), "word"))
+    return upper.groupBy("screen").agg(best.alias("b"), F.count("*").alias("regions")).select("screen", F.col("b.word").alias("word"), F.col("b.meat").alias("meat"), "regions")
+
+
+_WORDS = "[" + ", ".join(f"'{w}'" for w in fixed.HEADER_WORDS) + "]"
+_MEAT = ", ".join(f"'{w}'" for w in fixed.MEAT_WORDS)
+HEADER_REGIONS = f"""WITH {v.BOX}, w AS (SELECT *, {_WORDS}[(x % {len(fixed.HEADER_WORDS)} + 1)::INT] AS word, w * h AS area FROM v_box WHERE y < 630 AND w * h > 25000)
+SELECT screen, first(word ORDER BY word IN ({_MEAT}) DESC, area DESC, y, word DESC) AS word, bool_or(word IN ({_MEAT})) AS meat, count(*) AS regions FROM w GROUP BY screen"""
+
+
+def phrasing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to tell a user about a product's matches: none, one that is sure enough, or a list to choose from."""
+    names = v.product(spark, sf_dir).select("product_id", "product_name", "brand")
+    per = names.groupBy("product_name").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("brand")).alias("brands"))
+    sure = F.floor(100 / F.col("n"))
+    line = (
+        F.when((F.col("n") == 1) & (sure > 90), F.concat(F.lit("Is it "), F.col("product_name"), F.lit(" by "), F.col("brands")[0], F.lit("?")))
+        .otherwise(F.concat(F.col("n").cast("string"), F.lit(" products match. Brands: "), F.array_join(F.slice("brands", 1, 3), ", ")))
+    )
+    return per.select("product_name", "n", line.alias("line"))
+
+
+PHRASING = f"""WITH {v.PRODUCT}, p AS (SELECT product_name, count(*) AS n, list_sort(list(DISTINCT brand)) AS brands FROM v_product GROUP BY product_name)
+SELECT product_name, n, CASE WHEN n = 1 THEN 'Is it ' || product_name || ' by ' || brands[1] || '?' ELSE n || ' products match. Brands: ' || array_to_string(brands[:3], ', ') END AS line FROM p"""
+
 QUERIES = {
     "header_check": (header_check, HEADER_CHECK),
     "best_button": (best_button, BEST_BUTTON),
@@ -225,4 +272,7 @@ QUERIES = {
     "submit_requests": (submit_requests, SUBMIT_REQUESTS),
     "repaired_json": (repaired_json, REPAIRED_JSON),
     "extraction_rates": (extraction_rates, EXTRACTION_RATES),
+    "descriptions": (descriptions, _descriptions_sql()),
+    "header_regions": (header_regions, HEADER_REGIONS),
+    "phrasing": (phrasing, PHRASING),
 }
