@@ -10,11 +10,13 @@ and no task needs two whole sets, and long documents are split like any other.
 2. Two sets of similarity t share an n-gram among the first n - ceil(t n) + 1 of
    each (in any fixed order). These prefixes meet by n-gram, with the usual
    length and position filters.
-3. Only components are asked for, so pairs inside a component need no look. Each
-   n-gram's documents are first paired along a chain and with one hub; after
-   verification and contraction further rounds pair across components with
-   other hubs; what then still stands apart is paired in full. No link between
-   components can be lost, and a group of copies costs its size, not its square.
+   The shorter set's prefix is shorter still: n - ceil(2 t n / (1 + t)) + 1.
+3. Only components are asked for, so pairs inside a component need no look. In a
+   round, each n-gram's documents are paired with one hub, the least by a hash,
+   so that n-grams of the same documents choose the same; links are verified and
+   contracted, and the next round pairs across components with other hubs. What
+   then still stands apart is paired in full. No link between components can be
+   lost, and a group of copies costs its size, not its square.
 
 The order uses counts of n-grams that are frequent anywhere, from one pass over
 all documents, held to the `hot` most frequent. Any fixed order gives the same
@@ -38,33 +40,50 @@ from pyspark.sql import functions as F
 
 from larder.llm.components import connected
 from larder.llm.scratch import Scratch
-from larder.llm.text import WordHashes, gram_hashes, portions, texts
+from larder.llm.text import WordHashes, gram_hashes, hashed, portions, texts
+
+
+def gram_sets(some: list[bytes], n: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's n-grams of lower-cased words."""
+    h, starts = hashed(some, hashes, lower=True)
+    grams = gram_hashes(h, n)
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if b - a >= n:
+            s = np.sort(grams[a : b - n + 1])
+            yield s[np.concatenate(([True], s[1:] != s[:-1]))]
+        elif b > a:
+            yield gram_hashes(h[a:b], b - a) ^ np.uint64(b - a)
+        else:
+            yield np.empty(0, np.uint64)
 
 
-def gram_set(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of a text's n-grams of lower-cased words."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = hashes.of(words)
-    if len(words) < n:
-        return gram_hashes(h, len(words)) ^ np.uint64(len(words))
-    return np.unique(gram_hashes(h, n))
+#: n-grams that a task counts at a time.
+COUNTED = 4_000_000
 
 
 def _frequent(documents: DataFrame, n: int, text: str, hot: int) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams that are frequent in some portion of the documents, with the sum of those counts; at most `hot`."""
+    """n-grams that some stretch of the documents repeats, with the sum of those counts; the `hot` most frequent."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, held, size = WordHashes(), [], 0
+
+        def repeated():
+            grams, counts = np.unique(np.concatenate(held), return_counts=True)
+            many = counts > 1
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(grams[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], names=["gram", "n"]
+            )
+
         for batch in portions(batches, text):
-            sets = [gram_set(t, n, hashes) for t in texts(batch, text)]
-            grams, counts = np.unique(np.concatenate(sets), return_counts=True)
-            many = counts >= max(4, len(sets) // 256)
-            if many.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], names=["gram", "n"]
-                )
+            sets = list(gram_sets(texts(batch, text), n, hashes))
+            held += sets
+            size += sum(map(len, sets))
+            if size >= COUNTED:
+                yield repeated()
+                size = 0
+        if held:
+            yield repeated()
 
     got = (
         documents.select(text)
@@ -87,8 +106,7 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -
         hashes, (grams, counts) = WordHashes(), frequent.value
         for batch in portions(batches, "_text"):
             sizes, keys, prefixes = [], [], []
-            for t in texts(batch, "_text"):
-                s = gram_set(t, n, hashes)
+            for s in gram_sets(texts(batch, "_text"), n, hashes):
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if len(grams) and len(s):
@@ -113,19 +131,20 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -
 
 def _segments(documents: DataFrame, n: int, text: str, fragments: int) -> DataFrame:
     """(c, fragment, grams): each document's set, cut by the hash range of its n-grams."""
+    cuts = (np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments)).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in portions(batches, text):
+        hashes, seen = WordHashes(), set()
+        for batch in portions(batches, text, 1 << 20):
             cs, at, grams = [], [], []
-            for c, t in zip(batch.column("c").to_pylist(), texts(batch, text)):
-                s = gram_set(t, n, hashes)
-                cuts = np.searchsorted(s, (np.arange(1, fragments) * ((1 << 64) // fragments)).astype(np.uint64))
-                for k, part in enumerate(np.split(s, cuts)):
-                    if len(part):
-                        cs.append(c)
-                        at.append(k)
-                        grams.append(part.view(np.int64))
+            for c, s in zip(batch.column("c").to_pylist(), gram_sets(texts(batch, text), n, hashes)):
+                if c in seen:  # a row alike in id and text
+                    continue
+                seen.add(c)
+                for k, part in enumerate(np.split(s, np.searchsorted(s, cuts))):
+                    cs.append(c)
+                    at.append(k)
+                    grams.append(part.view(np.int64))
             if cs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cs, pa.int64()), pa.array(at, pa.int32()), pa.array(grams, pa.list_(pa.int64()))],
@@ -140,9 +159,9 @@ def near_duplicates(
     *,
     n: int = 5,
     percent: int = 80,
-    fragments: int = 8,
-    hot: int = 200_000,
-    rounds: int = 3,
+    fragments: int = 4,
+    hot: int = 500_000,
+    rounds: int = 2,
     text: str = "text",
 ) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id) of every row; text_key is xxhash64 of the text.
@@ -151,31 +170,30 @@ def near_duplicates(
     """
     spark = documents.sparkSession
     scratch = Scratch(spark)
-    documents = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
+    documents, text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), "text"
     frequent = spark.sparkContext.broadcast(_frequent(documents, n, text, hot))
-    sets = scratch.keep(_prefixes(documents, n, percent, text, frequent).withColumn("row", F.monotonically_increasing_id()))
+    whole = scratch.keep(_prefixes(documents, n, percent, text, frequent).withColumn("row", F.monotonically_increasing_id()))
+    sets = scratch.keep(whole.drop("prefix"))
     # a class is known by its first row; the key joins it to its text
     classes = scratch.keep(
         sets.where("n > 0")
         .groupBy("set_key")
         .agg(F.min("row").alias("c"), F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
     )
-    reps = sets.join(classes.select(F.col("c").alias("row")), "row", "left_semi")
-    posts = reps.select(F.col("row").alias("c"), "n", F.posexplode("prefix").alias("pos", "gram"))
+    rep = classes.select(F.col("c").alias("row"))
+    posts = whole.select("row", F.col("n").cast("int").alias("n"), "prefix").join(rep, "row", "left_semi")
+    posts = posts.select(F.col("row").alias("c"), "n", F.posexplode("prefix").alias("pos", "gram"))
     size_order = Window.partitionBy("gram").orderBy("n", "c")
-    me = F.struct("c", "n", "pos")
-    posts = scratch.keep(
-        posts.select(
-            "gram", "c", "n", "pos", F.lag(me).over(size_order).alias("before"), F.lead("c").over(size_order).alias("after"),
-            F.first(me).over(size_order.rowsBetween(Window.unboundedPreceding, 0)).alias("hub"),
-        ).where("before is not null or after is not null")
-    )
+    beside = posts.withColumns({"before": F.lag("n").over(size_order), "after": F.lead("n").over(size_order)})
+    posts = scratch.keep(beside.where("before is not null or after is not null").select("gram", "c", "n", "pos"))
+    scratch.drop(whole)
 
     def may_link(a: str, b: str):
-        """a is no longer than b; both filters hold for a pair's first common n-gram."""
-        na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-        left = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-        return (100 * na >= percent * nb) & (left * (100 + percent) >= percent * (na + nb))
+        """a is no longer than b: length filter, a's own prefix, and the position filter for a first common n-gram."""
+        na, nb, at = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos")
+        left = F.least(na - at, nb - F.col(f"{b}.pos"))
+        own = (100 + percent) * (na - at) >= 2 * percent * na
+        return (100 * na >= percent * nb) & own & (left * (100 + percent) >= percent * (na + nb))
 
     def pairs_of(*found: DataFrame) -> DataFrame:
         out = found[0]
@@ -183,12 +201,7 @@ def near_duplicates(
             out = out.union(x)
         return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    one = posts.where("before is not null").withColumn("me", me)
-    pairs = pairs_of(
-        one.where(may_link("before", "me")).select(F.col("before.c").alias("a"), F.col("me.c").alias("b")),
-        one.where("hub.c <> before.c").where(may_link("hub", "me")).select(F.col("hub.c").alias("a"), F.col("me.c").alias("b")),
-    )
-    keys = scratch.keep(sets.join(classes.select(F.col("c").alias("row")), "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n"))
+    keys = scratch.keep(sets.join(rep, "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n"))
 
     def segments_of(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
@@ -198,47 +211,49 @@ def near_duplicates(
         )
         return _segments(found.select("c", text), n, text, fragments)
 
-    def linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-        """Pairs with their partial overlaps counted by fragment and summed."""
-        a = segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-        b = segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-        partial = (
-            pairs.join(a, "a")
-            .join(b, ["b", "fragment"])
-            .select("a", "b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).alias("common"))
-        )
-        # a set, as rows alike in id and text bring a segment twice
-        whole = partial.groupBy("a", "b").agg(F.collect_set(F.struct("fragment", "common")).alias("parts"))
-        whole = whole.select("a", "b", F.aggregate("parts", F.lit(0), lambda s, x: s + x["common"]).alias("common"))
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs that link: partial overlaps counted fragment by fragment, and summed.
+
+        After each fragment a pair goes if what is left of the shorter set cannot make up the rest.
+        """
+        segments = scratch.keep(segments_of(pairs), partition_by="fragment")
         size = keys.select("c", "n")
-        return (
-            whole.join(size.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
+        open_ = scratch.keep(
+            pairs.join(size.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
             .join(size.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
-            .where(F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common")))
-            .select("a", "b")
+            .select("a", "b", "na", "nb", F.col("na").alias("left_a"), F.col("nb").alias("left_b"), F.lit(0).cast("long").alias("common"))
         )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        segments = scratch.keep(segments_of(pairs))
-        links = scratch.keep(linked(pairs, segments))
-        scratch.drop(segments)
+        for k in range(fragments):
+            part = segments.where(F.col("fragment") == k).select("c", "grams")
+            a = part.select(F.col("c").alias("a"), F.col("grams").alias("grams_a"))
+            b = part.select(F.col("c").alias("b"), F.col("grams").alias("grams_b"))
+            counted = open_.join(a, "a").join(b, "b").select(
+                "a", "b", "na", "nb", (F.col("left_a") - F.size("grams_a")).alias("left_a"), (F.col("left_b") - F.size("grams_b")).alias("left_b"),
+                (F.col("common") + F.size(F.array_intersect("grams_a", "grams_b"))).alias("common"),
+            )
+            most = F.col("common") + F.least("left_a", "left_b")
+            # rows alike in id and text may bring a segment from several tasks
+            after = scratch.keep(counted.where(most * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).distinct())
+            scratch.drop(open_)
+            open_ = after
+        links = scratch.keep(open_.select("a", "b"))
+        scratch.drop(segments, open_)
         return links
 
-    pairs = scratch.keep(pairs)
-    links = verified(pairs)
-    tried = pairs
-    component = scratch.keep(connected(links, scratch))
-    slim = posts.select("gram", "c", "n", "pos")
+    component = tried = links = None
+    me = F.struct("c", "n", "pos")
     for k in range(rounds + 1):
-        marked = slim.join(component, slim["c"] == component["node"], "left").select(
-            "gram", "c", "n", "pos", F.coalesce("component", "c").alias("component")
-        )
-        mixed = marked.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        slim_marked = scratch.keep(marked.join(mixed.select("gram"), "gram", "left_semi"))
-        whole = k == rounds
-        if whole:
-            x = slim_marked.select("gram", F.struct("c", "n", "pos", "component").alias("x"))
-            y = slim_marked.select("gram", F.struct("c", "n", "pos", "component").alias("y"))
+        if component is None:
+            marked = posts.withColumn("component", F.col("c"))
+        else:
+            marked = posts.join(component, posts["c"] == component["node"], "left").select(
+                "gram", "c", "n", "pos", F.coalesce("component", "c").alias("component")
+            )
+            mixed = marked.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+            marked = scratch.keep(marked.join(mixed.select("gram"), "gram", "left_semi"))
+        if k == rounds:
+            x = marked.select("gram", F.struct("c", "n", "pos", "component").alias("x"))
+            y = marked.select("gram", F.struct("c", "n", "pos", "component").alias("y"))
             apart = x.join(
                 y,
                 (x["gram"] == y["gram"])
@@ -249,20 +264,22 @@ def near_duplicates(
             new = pairs_of(apart.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
         else:
             pick = F.struct(F.xxhash64("c", F.lit(k)).alias("h"), "c", "n", "pos", "component")
-            hubs = slim_marked.groupBy("gram").agg(F.min(pick).alias("hub"))
-            met = slim_marked.withColumn("me", me).join(hubs, "gram").where("hub.component <> component")
-            met = met.where(F.when(F.col("hub.n") <= F.col("n"), may_link("hub", "me")).otherwise(may_link("me", "hub")))
+            hubs = marked.groupBy("gram").agg(F.min(pick).alias("hub"))
+            met = marked.withColumn("me", me).join(hubs, "gram").where("hub.component <> component")
+            met = met.where(
+                F.when(F.struct("hub.n", "hub.c") < F.struct("n", "c"), may_link("hub", "me")).otherwise(may_link("me", "hub"))
+            )
             new = pairs_of(met.select(F.col("hub.c").alias("a"), F.col("c").alias("b")))
-        new = scratch.keep(new.join(tried, ["a", "b"], "left_anti"))
-        slim = slim_marked.select("gram", "c", "n", "pos")
+        new = scratch.keep(new.join(tried, ["a", "b"], "left_anti") if tried is not None else new)
+        posts = marked.select("gram", "c", "n", "pos")
         if new.isEmpty():
-            if whole:
-                break
             continue
-        tried = scratch.keep(tried.union(new))
+        tried = scratch.keep(tried.union(new)) if tried is not None else new
         more = verified(new)
-        links = scratch.keep(links.union(more))
+        links = scratch.keep(links.union(more)) if links is not None else more
         component = scratch.keep(connected(links, scratch))
+    if component is None:
+        component = spark.createDataFrame([], "node long, component long")
     named = classes.join(component, classes["c"] == component["node"], "left").withColumn(
         "component", F.coalesce("component", "c")
     )

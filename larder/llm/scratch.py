@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.llm.text import small_batches
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where none is set, as in tests."""
@@ -29,15 +31,16 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/larder-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
         self.n = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=partition_by)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = path
         return kept

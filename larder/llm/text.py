@@ -7,12 +7,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+from xxhash import xxh3_64_intdigest
 
 #: A word is a run of [^\x20\x09-\x0D]; bytes.split() without arguments cuts at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def portions(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most `rows`: the session's default counts on short rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `most` bytes of the column, or one longer text."""
     for batch in batches:
         if not batch.num_rows:
@@ -34,11 +43,9 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
 class WordHashes(dict):
     """Word -> 64-bit hash, filled on demand and emptied before it outgrows a task."""
 
-    MOST = 1_000_000
+    MOST = 250_000
 
     def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
         self[word] = got = xxh3_64_intdigest(word)
         return got
 
@@ -60,7 +67,16 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     count = len(words) - n + 1
     if count <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(count, np.uint64)
-    for j in range(n):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + mixed(words[j : j + count] + np.uint64(j))
+    total = words[:count].copy()
+    for j in range(1, n):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += words[j : j + count]
     return mixed(total)
+
+
+def hashed(some: list[bytes], hashes: WordHashes, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts in one array, and where each text starts and the last ends."""
+    words = [(t.lower() if lower else t).split() for t in some]
+    starts = np.zeros(len(words) + 1, np.int64)
+    np.cumsum([len(w) for w in words], out=starts[1:])
+    return hashes.of([x for w in words for x in w]), starts
