@@ -42,20 +42,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occur earlier go; a document that keeps all its words keeps its text as it is."""
-    scratch = Scratch(spark)
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("source", "lang"))
-    other = docs.select("doc_id", "lang", "source", "n_chars", F.xxhash64("text").alias("_t")).withColumn("_n", nth)
-    cut = substrings.remove_repeats(docs).withColumn("_t", F.xxhash64("text"))
-    cut = scratch.keep(
-        cut.select("doc_id", "_t", "n_words", "n_removed", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text"))
-    )
-    cut = cut.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("n_removed")))
-    cut = cut.select(F.col("doc_id").alias("_d"), F.col("_t").alias("_k"), F.col("_n").alias("_m"), "n_words", "n_removed", "text")
-    joined = other.join(cut, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_k")) & (F.col("_n") == F.col("_m")))
+    cut = substrings.remove_repeats(docs)
     # a document of which nothing is left goes
-    return joined.where("n_removed = 0 or n_removed < n_words").select(
-        "doc_id", "text", "lang", "source", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    )
+    kept = cut.where("n_removed = 0 or n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("kept").cast("long")).otherwise(F.col("n_chars"))
+    return kept.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) of each document, and whether they decode to its text."""
     ranks = bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    decoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN, decoded="decoded")
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return decoded.select("doc_id", "source", bpe.n_tokens().alias("n_tokens"), "ids", same.alias("decodes"))
 

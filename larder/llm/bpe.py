@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.text import portions
+from larder.llm.text import portions, small_batches
 
 #: Cached pieces of a task; a full cache is emptied.
-MOST_PIECES = 400_000
+MOST_PIECES = 200_000
 #: Cells of one padded matrix, unless one piece is longer.
 MOST_CELLS = 1 << 20
 
@@ -207,28 +207,35 @@ class Vocabulary:
         return _codecs[key]
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType, f) -> DataFrame:
-    """df with a column computed from batches; what f needs comes first."""
-    df = df.drop(name)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+def _added(df: DataFrame, names: list[str], f) -> DataFrame:
+    """df with binary columns computed from batches; what f needs comes first."""
+    small_batches(df.sparkSession)
+    df = df.drop(*names)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.BinaryType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, column in f(batches):
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
+        for batch, *columns in f(batches):
+            columns = [pa.array(c, pa.binary()) for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add `ids`, the text's token ids as little-endian unsigned 32-bit integers in one binary."""
+def encode(
+    df: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """Add `ids`, the text's token ids as little-endian unsigned 32-bit integers in one binary.
+
+    decoded: a column for the bytes that these ids stand for, from the same pass.
+    """
 
     def run(batches):
         codec = vocabulary.codec(pattern)
         for batch in portions(batches, text):
             got = codec.encode([x or "" for x in batch.column(text).to_pylist()])
-            yield batch, pa.array(got, pa.binary())
+            yield (batch, got, map(codec.decode, got)) if decoded else (batch, got)
 
-    return _added(df, ids, T.BinaryType(), run)
+    return _added(df, [ids, decoded] if decoded else [ids], run)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -237,9 +244,9 @@ def decode(df: DataFrame, vocabulary: Vocabulary, pattern: str, ids: str = "ids"
     def run(batches):
         codec = vocabulary.codec(pattern)
         for batch in portions(batches, ids):
-            yield batch, pa.array([codec.decode(x or b"") for x in batch.column(ids).to_pylist()], pa.binary())
+            yield batch, [codec.decode(x or b"") for x in batch.column(ids).to_pylist()]
 
-    return _added(df, out, T.BinaryType(), run)
+    return _added(df, [out], run)
 
 
 def n_tokens(ids: str = "ids") -> F.Column:

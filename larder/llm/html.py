@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from larder.llm.text import portions
+from larder.llm.text import portions, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -193,6 +193,7 @@ def main_text(html: str, sigma: float = 1.0) -> str:
 
 def extract(pages: DataFrame, *, html: str = "html", out: str = "text", sigma: float = 1.0) -> DataFrame:
     """Add the main text of each page."""
+    small_batches(pages.sparkSession)
     pages = pages.drop(out)
     schema = T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())])
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.text import portions, texts
+from larder.llm.text import portions, small_batches, texts
 
 WORDS, SHAPES, MEASURES = 3072, 896, 128
 TERMS = WORDS + SHAPES + MEASURES
@@ -46,7 +46,7 @@ class _Buckets(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest as h
 
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         shape = _RUN.sub(rb"\1", word.translate(_SHAPE))[:24]
         self[word] = got = (h(word.lower()) % WORDS) * TERMS + WORDS + h(shape) % SHAPES
@@ -244,6 +244,7 @@ def _model(counted: DataFrame, shares: dict, rank: int, neighbours: int, power:
 
 def classify(documents: DataFrame, model: Model, *, text: str = "text", out: str = "score") -> DataFrame:
     """Add the score between 0 and 1, higher where label 1 is likelier. Only maps."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     documents = documents.drop(out)
     schema = T.StructType([*documents.schema.fields, T.StructField(out, T.DoubleType())])

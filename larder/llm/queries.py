@@ -29,9 +29,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.Vocabulary(spark, public_tokenizers.path(BPE_RANKS))
-    ids = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids.select("doc_id", "ids"), ranks, public_tokenizers.PATTERN)
-    return decoded.select(
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(documents, ranks, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
