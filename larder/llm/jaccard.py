@@ -11,6 +11,8 @@ and no task needs two whole sets, and long documents are split like any other.
    each (in any fixed order). These prefixes meet by n-gram, with the usual
    length and position filters.
    The shorter set's prefix is shorter still: n - ceil(2 t n / (1 + t)) + 1.
+   Before the counting, 512 parities a document (each n-gram flips one cell) give
+   a lower bound on how far two sets differ; pairs beyond what t allows go.
 3. Only components are asked for, so pairs inside a component need no look. In a
    round, each n-gram's documents are paired with one hub, the least by a hash,
    so that n-grams of the same documents choose the same; links are verified and
@@ -57,6 +59,8 @@ def gram_sets(some: list[bytes], n: int, hashes: WordHashes) -> Iterator[np.ndar
             yield np.empty(0, np.uint64)
 
 
+#: Cells of the parity filter: two sets differ in at least as many n-grams as their parities do in cells.
+BITS = 512
 #: n-grams that a task counts at a time.
 COUNTED = 4_000_000
 
@@ -100,15 +104,17 @@ def _frequent(documents: DataFrame, n: int, text: str, hot: int) -> tuple[np.nda
 
 
 def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -> DataFrame:
-    """(doc_id, text_key, n, set_key, prefix) of each document."""
+    """(doc_id, text_key, n, set_key, bits, prefix) of each document; bits: parities of the n-grams dealt to BITS cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (grams, counts) = WordHashes(), frequent.value
         for batch in portions(batches, "_text"):
-            sizes, keys, prefixes = [], [], []
+            sizes, keys, prefixes, bits = [], [], [], []
             for s in gram_sets(texts(batch, "_text"), n, hashes):
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                parity = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+                bits.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
                 if len(grams) and len(s):
                     at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
                     s = s[np.lexsort((s, np.where(grams[at] == s, counts[at], 0)))]
@@ -119,13 +125,14 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -
                     batch.column("text_key"),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
+                    pa.array(bits, pa.list_(pa.int64())),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_key", "n", "set_key", "prefix"],
+                names=["doc_id", "text_key", "n", "set_key", "bits", "prefix"],
             )
 
     return documents.select("doc_id", F.xxhash64(text).alias("text_key"), F.col(text).alias("_text")).mapInArrow(
-        run, "doc_id long, text_key long, n long, set_key binary, prefix array<long>"
+        run, "doc_id long, text_key long, n long, set_key binary, bits array<long>, prefix array<long>"
     )
 
 
@@ -173,7 +180,7 @@ def near_duplicates(
     documents, text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), "text"
     frequent = spark.sparkContext.broadcast(_frequent(documents, n, text, hot))
     whole = scratch.keep(_prefixes(documents, n, percent, text, frequent).withColumn("row", F.monotonically_increasing_id()))
-    sets = scratch.keep(whole.drop("prefix"))
+    sets = scratch.keep(whole.drop("prefix", "bits"))
     # a class is known by its first row; the key joins it to its text
     classes = scratch.keep(
         sets.where("n > 0")
@@ -186,6 +193,7 @@ def near_duplicates(
     size_order = Window.partitionBy("gram").orderBy("n", "c")
     beside = posts.withColumns({"before": F.lag("n").over(size_order), "after": F.lead("n").over(size_order)})
     posts = scratch.keep(beside.where("before is not null or after is not null").select("gram", "c", "n", "pos"))
+    keys = scratch.keep(whole.join(rep, "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n", "bits"))
     scratch.drop(whole)
 
     def may_link(a: str, b: str):
@@ -195,14 +203,17 @@ def near_duplicates(
         own = (100 + percent) * (na - at) >= 2 * percent * na
         return (100 * na >= percent * nb) & own & (left * (100 + percent) >= percent * (na + nb))
 
+    def near(a: str, b: str, na: str, nb: str):
+        """Whether the parities leave room for a link."""
+        differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)), F.lit(0))
+        return differ * (100 + percent) <= (F.col(na) + F.col(nb)) * (100 - percent)
+
     def pairs_of(*found: DataFrame) -> DataFrame:
         out = found[0]
         for x in found[1:]:
             out = out.union(x)
         return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    keys = scratch.keep(sets.join(rep, "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n"))
-
     def segments_of(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
         wanted = keys.join(asked, "c", "left_semi").select("c", F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
@@ -212,17 +223,18 @@ def near_duplicates(
         return _segments(found.select("c", text), n, text, fragments)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs that link: partial overlaps counted fragment by fragment, and summed.
+        """Pairs that link: those that the parities let pass, partial overlaps counted fragment by fragment, and summed.
 
         After each fragment a pair goes if what is left of the shorter set cannot make up the rest.
         """
-        segments = scratch.keep(segments_of(pairs), partition_by="fragment")
-        size = keys.select("c", "n")
+        of = lambda x: keys.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}"))
         open_ = scratch.keep(
-            pairs.join(size.select(F.col("c").alias("a"), F.col("n").alias("na")), "a")
-            .join(size.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
+            pairs.join(of("a"), "a")
+            .join(of("b"), "b")
+            .where(near("bits_a", "bits_b", "na", "nb"))
             .select("a", "b", "na", "nb", F.col("na").alias("left_a"), F.col("nb").alias("left_b"), F.lit(0).cast("long").alias("common"))
         )
+        segments = scratch.keep(segments_of(open_), partition_by="fragment")
         for k in range(fragments):
             part = segments.where(F.col("fragment") == k).select("c", "grams")
             a = part.select(F.col("c").alias("a"), F.col("grams").alias("grams_a"))
@@ -252,14 +264,16 @@ def near_duplicates(
             mixed = marked.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
             marked = scratch.keep(marked.join(mixed.select("gram"), "gram", "left_semi"))
         if k == rounds:
-            x = marked.select("gram", F.struct("c", "n", "pos", "component").alias("x"))
-            y = marked.select("gram", F.struct("c", "n", "pos", "component").alias("y"))
+            # only what may link leaves this join
+            dealt = marked.join(keys.select("c", "bits"), "c").select("gram", F.struct("c", "n", "pos", "component", "bits").alias("x"))
+            x, y = dealt, dealt.withColumnRenamed("x", "y")
             apart = x.join(
                 y,
                 (x["gram"] == y["gram"])
                 & (F.col("x.component") != F.col("y.component"))
                 & (F.struct("x.n", "x.c") < F.struct("y.n", "y.c"))
-                & may_link("x", "y"),
+                & may_link("x", "y")
+                & near("x.bits", "y.bits", "x.n", "y.n"),
             )
             new = pairs_of(apart.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
         else:
