@@ -11,14 +11,16 @@ the maximal span is removed. Then the stretch itself joins the automaton.
 Automata of the whole corpus cannot be broadcast: they grow with it. So instead
 of sending every shard to every document, stretches are sent to the one shard
 that can hold their match (see the README). An anchor with more than `most`
-occurrences has no automaton: its windows are grouped by their words, and all but
-the first go, which gives the same result and splits over tasks.
+occurrences has no automaton: equal stretches, and then the windows of the
+different ones, are grouped by their words, and all but the first go, which gives
+the same result and splits over tasks.
 
 Words are runs of [^\x20\x09-\x0D], unchanged; equality is of words, not of
 hashes. Rows with equal texts are one document for the search: the later ones
 lose all words that windows cover. Documents go by id (null first), rows of one
-id by the hash of their text. Null, empty and short texts keep everything. An
-empty table gives an empty result. Extra columns are left out.
+id as the table has them. Null, empty and short texts keep everything. An
+empty table gives an empty result. Extra columns pass through; one called as a
+result's column is replaced.
 """
 
 from __future__ import annotations
@@ -33,19 +35,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm.scratch import Scratch
-from larder.llm.text import WordHashes, gram_hashes, portions, texts
+from larder.llm.text import WordHashes, gram_hashes, hashed, portions, texts
 
 
-def anchors(h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of window minima over runs of `span` hashes, with the first and last window of each."""
-    windows = len(h) - span + 1
-    low, at = h[:windows].copy(), np.arange(windows)
+def anchors(h: np.ndarray, starts: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all windows of some documents, from the hashes of their words' runs.
+
+    For each anchor: its document, its place there, and its first and last window.
+    """
+    span = window - gram + 1
+    n = int(starts[-1]) - window + 1
+    empty = np.empty(0, np.int64)
+    if n <= 0:
+        return empty, empty, empty, empty
+    low, at = h[:n].copy(), np.zeros(n, np.int64)
     for j in range(1, span):
-        less = h[j : j + windows] < low
-        low[less] = h[j : j + windows][less]
-        at[less] = np.flatnonzero(less) + j
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    return at[first], first, np.append(first[1:], windows) - 1
+        less = h[j : j + n] < low
+        np.copyto(low, h[j : j + n], where=less)
+        at[less] = j
+    at += np.arange(n)
+    sizes = np.diff(starts)
+    doc = np.repeat(np.arange(len(sizes)), np.maximum(sizes - window + 1, 0))
+    # windows that lie in one document
+    first = np.repeat(starts[:-1] - np.concatenate(([0], np.cumsum(np.maximum(sizes - window + 1, 0))[:-1])), np.maximum(sizes - window + 1, 0))
+    begin = np.arange(len(doc)) + first
+    at = at[begin]
+    new = np.flatnonzero(np.diff(at, prepend=-1))
+    last = np.append(new[1:], len(at)) - 1
+    base = starts[doc[new]]
+    return doc[new], at[new] - base, begin[new] - base, begin[last] - base
 
 
 class Automaton:
@@ -145,13 +163,9 @@ def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def remove_repeats(
     documents: DataFrame, *, window: int = 20, gram: int = 6, most: int = 2000, text: str = "text"
 ) -> DataFrame:
-    """(doc_id, text, n_words, n_removed, kept) of every row; kept is the words left, joined by one space.
-
-    text is the row's own text, null as it was.
-    """
+    """Every row with n_words, n_removed and kept: the words left, joined by one space."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
-    span = window - gram + 1
     keyed = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), F.md5(F.coalesce(text, F.lit(""))).alias("text_key")
     )
@@ -159,28 +173,28 @@ def remove_repeats(
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in portions(batches, "text"):
-            sizes, at, keys = [], [], []
-            for t in texts(batch, "text"):
-                words = t.split()
-                sizes.append(len(words))
-                if len(words) < window:
-                    at.append(np.empty(0, np.int64))
-                    keys.append(np.empty(0, np.int64))
-                    continue
-                h = gram_hashes(hashes.of(words), gram)
-                pos, _, _ = anchors(h, span)
-                at.append(pos)
-                keys.append(h[pos].view(np.int64))
+            words, starts = hashed(texts(batch, "text"), hashes)
+            h = gram_hashes(words, gram)
+            doc, place, _, _ = anchors(h, starts, window, gram)
+            # each anchor once a document, with its number there
+            hashed_ = h[starts[doc] + place]
+            order = np.lexsort((hashed_, doc))
+            doc, hashed_ = doc[order], hashed_[order]
+            new = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), bool), (np.diff(doc) != 0) | (hashed_[1:] != hashed_[:-1]))))
+            times = np.diff(np.append(new, len(doc)))
+            offsets = pa.array(np.searchsorted(doc[new], np.arange(batch.num_rows + 1)), pa.int32())
+            keys = pa.ListArray.from_arrays(offsets, pa.array(hashed_[new].view(np.int64)))
+            at = pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))
+            sizes = np.diff(starts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int32()),
-                    pa.array(keys, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())),
+                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int32()), keys, at,
                 ],
-                names=["doc_id", "text_key", "n_words", "anchors", "places"],
+                names=["doc_id", "text_key", "n_words", "anchors", "times"],
             )
 
     found = scratch.keep(
-        keyed.mapInArrow(find, "doc_id long, text_key string, n_words int, anchors array<long>, places array<int>").withColumn(
+        keyed.mapInArrow(find, "doc_id long, text_key string, n_words int, anchors array<long>, times array<int>").withColumn(
             "row", F.monotonically_increasing_id()
         )
     )
@@ -191,76 +205,108 @@ def remove_repeats(
     occurrences = (
         found.where(F.size("anchors") > 0)
         .join(firsts, "row", "left_semi")
-        .select("row", F.explode(F.arrays_zip("anchors", "places")).alias("x"))
-        .select("row", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
+        .select("row", F.explode(F.arrays_zip("anchors", "times")).alias("x"))
+        .select("row", F.col("x.anchors").alias("anchor"), F.col("x.times").alias("times"))
     )
-    often = F.count("*").over(Window.partitionBy("anchor"))
-    repeated = occurrences.withColumn("times", often).where("times > 1")
+    often = F.sum("times").over(Window.partitionBy("anchor"))
+    repeated = occurrences.withColumn("often", often).where("often > 1")
     repeated = scratch.keep(
-        repeated.groupBy("row").agg(F.collect_list(F.struct("place", (F.col("times") > most).alias("hot"))).alias("places"))
+        repeated.groupBy("row").agg(F.collect_list(F.struct("anchor", (F.col("often") > most).alias("hot"))).alias("anchors"))
     )
     info = scratch.keep(found.select("row", "doc_id", "text_key", "n_words"))
     scratch.drop(found)
     wanted = info.join(repeated, "row").select(
-        "row", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key", F.transform("places", lambda x: x["place"]).alias("at"),
-        F.transform("places", lambda x: x["hot"]).alias("hot"),
+        "row", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key", F.transform("anchors", lambda x: x["anchor"]).alias("at"),
+        F.transform("anchors", lambda x: x["hot"]).alias("hot"),
     )
     here = keyed.withColumn("_d", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("_d", "doc_id", "text_key", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Stretches to look up (cold, hot), and spans that repeat within the document and need no look (again)."""
         hashes = WordHashes()
-        schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("anchor", pa.int64()), ("begin", pa.int32()), ("stretch", pa.binary()), ("hot", pa.bool_())])
+        schema = pa.schema(
+            [("row", pa.int64()), ("doc_id", pa.int64()), ("anchor", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("stretch", pa.binary()), ("kind", pa.string())]
+        )
         for batch in portions(batches, "text", 1 << 20):
             out: list[list] = [[] for _ in schema]
-            for row, doc, t, places, hot in zip(
+
+            def put(*values):
+                for column, value in zip(out, values):
+                    column.append(value)
+
+            for row, doc, t, known, hot in zip(
                 batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts(batch, "text"),
                 batch.column("at").to_pylist(), batch.column("hot").to_pylist(),
             ):
                 words = t.split()
                 h = gram_hashes(hashes.of(words), gram)
-                pos, first, last = anchors(h, span)
-                is_hot = dict(zip(places, hot))
-                for p, a, b in zip(pos.tolist(), first.tolist(), last.tolist()):
-                    known = is_hot.get(p)
-                    if known is None:
+                _, pos, first, last = anchors(h, np.array([0, len(words)]), window, gram)
+                is_hot, here, again = dict(zip(known, hot)), set(), []
+                names = h.view(np.int64)[pos].tolist()
+                for anchor, begin, end in zip(names, first.tolist(), (last + window).tolist()):
+                    if anchor not in is_hot:
                         continue
-                    # a hot anchor's windows go one by one
-                    for begin, end in [(k, k + window) for k in range(a, b + 1)] if known else [(a, b + window)]:
-                        for column, value in zip(out, (row, doc, int(h[p].view(np.int64)), begin, b" ".join(words[begin:end]), known)):
-                            column.append(value)
+                    stretch = b" ".join(words[begin:end])
+                    if stretch not in here:
+                        here.add(stretch)
+                        put(row, doc, anchor, begin, end, stretch, "hot" if is_hot[anchor] else "cold")
+                    elif again and begin <= again[-1][1]:
+                        again[-1][1] = end
+                    else:
+                        again.append([begin, end])
+                for begin, end in again:
+                    put(row, doc, 0, begin, end, None, "again")
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     stretches = scratch.keep(
         here.join(wanted, ["_d", "text_key"])
         .select("row", "doc_id", "text", "at", "hot")
-        .mapInArrow(cut, "row long, doc_id long, anchor long, begin int, stretch binary, hot boolean")
+        .mapInArrow(cut, "row long, doc_id long, anchor long, begin int, end int, stretch binary, kind string")
     )
     cold = (
-        stretches.where("not hot")
+        stretches.where("kind = 'cold'")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "doc_id", "row", "begin")
         .select("anchor", "row", "begin", "stretch")
         .mapInArrow(lambda batches: _shards(batches, window), "row long, start int, end int")
     )
-    hot = stretches.where("hot")
-    first = hot.groupBy(F.col("stretch").alias("_s")).agg(F.min(F.struct("doc_id", "row", "begin")).alias("first"))
-    later = hot.join(first, hot["stretch"] == first["_s"]).where(F.struct("doc_id", "row", "begin") != F.col("first"))
-    gone = cold.union(later.select("row", F.col("begin").alias("start"), (F.col("begin") + window).alias("end")))
+    # hot anchors: equal stretches first, then the windows of what is left, the first of each kept
+    hot = stretches.where("kind = 'hot'").withColumn("me", F.struct("doc_id", "row", "begin"))
+    heads = scratch.keep(hot.groupBy("stretch").agg(F.min("me").alias("first")))
+    later = hot.join(heads, "stretch").where("me <> first").select("row", F.col("begin").alias("start"), "end")
+    words = F.split(F.col("stretch").cast("string"), " ")
+    windows = heads.select("first.*", words.alias("w")).select(
+        "doc_id", "row", "begin", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - window + 1), lambda i: F.array_join(F.slice("w", i, window), " "))).alias("k", "g")
+    )
+    windows = windows.select("g", F.struct("doc_id", "row", (F.col("begin") + F.col("k")).alias("begin")).alias("me"))
+    earliest = windows.groupBy("g").agg(F.min("me").alias("first"))
+    inner = windows.join(earliest, "g").where("me <> first").select("me.row", F.col("me.begin").alias("start"), (F.col("me.begin") + window).alias("end"))
+    again = stretches.where("kind = 'again'").select("row", F.col("begin").alias("start"), "end")
+    gone = cold.union(again).union(later).union(inner)
     gone = scratch.keep(gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
     scratch.drop(stretches)
-    copies = info.join(firsts.withColumn("is_first", F.lit(True)), "row", "left").join(gone, "row", "left").select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key", "row", F.col("is_first").isNull().alias("copy"), "spans"
+    # rows alike in id and text: one is the first, so each takes a decision of its own
+    decided = (
+        info.join(firsts.withColumn("is_first", F.lit(True)), "row", "left")
+        .join(gone, "row", "left")
+        .groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key")
+        .agg(F.sort_array(F.collect_list(F.struct("row", F.col("is_first").isNull().alias("copy"), "spans"))).alias("each"))
+    )
+    nth = F.row_number().over(Window.partitionBy("_d", "text_key").orderBy(F.lit(0)))
+    whole = (
+        documents.select(F.struct(*documents.columns).alias("doc"))
+        .withColumns({"_d": F.coalesce(F.col("doc.doc_id").cast("long"), F.lit(-(1 << 63))), "text_key": F.md5(F.coalesce(f"doc.{text}", F.lit("")))})
+        .withColumn("_n", nth)
+        .join(decided, ["_d", "text_key"])
+        .select("doc", F.element_at("each", F.col("_n")).alias("way"))
+        .select("doc", F.col("way.copy").alias("copy"), F.col("way.spans").alias("spans"))
     )
-    # rows alike in id and text: one is the first, so each needs its own number
-    alike = Window.partitionBy("_d", "text_key").orderBy("row")
-    copies = copies.withColumn("_n", F.row_number().over(alike))
-    numbered = here.withColumn("_n", F.row_number().over(Window.partitionBy("_d", "text_key").orderBy(F.lit(0))))
-    schema = T.StructType.fromDDL("doc_id long, text string, n_words long, n_removed long, kept string")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, "text"):
+        for batch in batches:
+            some = [x or b"" for x in batch.column("doc").field(text).cast(pa.binary()).to_pylist()]
             sizes, removed, kept = [], [], []
-            for t, copy, cuts in zip(texts(batch, "text"), batch.column("copy").to_pylist(), batch.column("spans").to_pylist()):
+            for t, copy, cuts in zip(some, batch.column("copy").to_pylist(), batch.column("spans").to_pylist()):
                 words = t.split()
                 sizes.append(len(words))
                 left = words
@@ -275,15 +321,11 @@ def remove_repeats(
                 removed.append(len(words) - len(left))
                 kept.append(b" ".join(left))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("text"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
-                ],
-                names=[f.name for f in schema],
-            )
+                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                names=["doc", "n_words", "n_removed", "kept"],
+            )
 
-    return (
-        numbered.join(copies, ["_d", "text_key", "_n"])
-        .select("doc_id", "text", "copy", "spans")
-        .mapInArrow(keep, schema)
-    )
+    schema = T.StructType([whole.schema["doc"], *T.StructType.fromDDL("n_words long, n_removed long, kept string").fields])
+    added = ("n_words", "n_removed", "kept")
+    own = [F.col(f"doc.{c}") for c in documents.columns if c not in added]
+    return whole.mapInArrow(keep, schema).select(*own, *added)
