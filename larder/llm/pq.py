@@ -19,14 +19,16 @@ dimension never link. Extra columns are left out.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.components import connected
+from larder.llm.components import Forest, connected
 from larder.llm.scratch import Scratch
 
 BLOCK = 2048
@@ -91,24 +93,33 @@ def near_duplicates(
     """(id, n_links, component_id) of every row: rows of its label linked directly, and the smallest id it reaches."""
     spark = vectors.sparkSession
     scratch = Scratch(spark)
-    x = F.col(vector).cast("array<double>")
-    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    top = F.array_max(F.transform(x, F.abs))
-    usable = F.col(label).isNotNull() & x.isNotNull() & ~F.coalesce(bad, F.lit(True)) & (F.coalesce(top, F.lit(0.0)) > 0)
-    # scaled by the largest component first, so that squares neither overflow nor vanish
-    scaled = F.transform(x, lambda c: c / top)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, c: a + c * c))
-    rows = vectors.select(
-        F.col(id).alias("vec_id"),
-        F.col(label).alias("label"),
-        F.when(usable, F.transform(scaled, lambda c: c / length)).alias("u"),
-        F.when(usable, F.sha2(F.concat(F.col(label).cast("string"), F.lit(":"), x.cast("string")), 256)).alias("key"),
-    )
-    rows = scratch.keep(rows)
+    kind = dict(vectors.dtypes)[label]
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Unit vectors, and a digest of the vector; both null where the row links with nothing."""
+        for batch in batches:
+            us, keys = [], []
+            for labelled, x in zip(batch.column("label").is_valid().to_pylist(), batch.column("x").to_pylist()):
+                x = np.array([np.nan if c is None else c for c in x], np.float64) if labelled and x else np.zeros(1)
+                if not np.isfinite(x).all() or not x.any():
+                    us.append(None)
+                    keys.append(None)
+                    continue
+                # by the largest component first, so that squares neither overflow nor vanish
+                u = x / np.abs(x).max()
+                us.append(u / np.sqrt((u * u).sum()))
+                keys.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("label"), pa.array(us, pa.list_(pa.float64())), pa.array(keys, pa.binary())],
+                names=["vec_id", "label", "u", "key"],
+            )
+
+    rows = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("x"))
+    rows = scratch.keep(rows.mapInArrow(scale, f"vec_id long, label {kind}, u array<double>, key binary"))
     classes = scratch.keep(
         rows.where("u is not null")
-        .groupBy("key")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("u").alias("u"))
+        .groupBy("key", "label")
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("u").alias("u"))
         .select("key", "rep", "n", "label", "u", F.size("u").alias("dim"), F.monotonically_increasing_id().alias("c"))
     )
     books = {}
@@ -128,7 +139,7 @@ def near_duplicates(
                 yield g[["c", "n", "label", "dim", "u"]].assign(list=own, code=[c.tobytes() for c in codes], error=error, away=away)
 
     indexed = scratch.keep(
-        classes.mapInPandas(index, "c long, n long, label int, dim int, u array<double>, list int, code binary, error double, away double")
+        classes.mapInPandas(index, f"c long, n long, label {kind}, dim int, u array<double>, list int, code binary, error double, away double")
     )
     # blocks of a list: salted by a hash, so a list of any size is met in parts
     sizes = indexed.groupBy("label", "dim", "list").agg(F.max("away").alias("radius"), F.count("*").alias("size"))
@@ -159,7 +170,7 @@ def near_duplicates(
                 yield got.assign(list=which["list"].astype("int32"), block=which["block"].astype("int32"))
 
     probes = indexed.select("label", "dim", "c", "n", "u").join(known, ["label", "dim"]).mapInPandas(
-        probe, "label int, dim int, c long, n long, u array<double>, list int, block int"
+        probe, f"label {kind}, dim int, c long, n long, u array<double>, list int, block int"
     )
     # the probing side of a block is cut too
     cut = F.pmod(F.xxhash64("c", F.lit(3)), F.lit(1 << 20))
@@ -179,7 +190,7 @@ def near_duplicates(
         error, mult = members["error"].to_numpy(), members["n"].to_numpy()
         mc, qc = members["c"].to_numpy(), asked["c"].to_numpy()
         found = np.zeros(len(q), np.int64)
-        forest, edges = _Forest(), []
+        forest, edges = Forest(), []
         for start in range(0, len(q), 256):
             part = q[start : start + 256]
             adc = sum(t[:, codes[:, j]] for j, t in enumerate(book.tables(part, list_)))
@@ -207,32 +218,10 @@ def near_duplicates(
     smallest = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     got = (
         placed.join(smallest, "component")
-        .select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"), "component_id")
+        .select("key", F.col("label").alias("_l"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("_links"), "component_id")
     )
-    return rows.join(got, "key", "left").select(
+    return rows.select("vec_id", "key", F.col("label").alias("_l")).join(got, ["key", "_l"], "left").select(
         "vec_id",
         F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").cast("long").alias("component_id"),
     )
-
-
-class _Forest:
-    """Union-find over one task's block."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        path = []
-        while self.up.get(x, x) != x:
-            path.append(x)
-            x = self.up[x]
-        for y in path:
-            self.up[y] = x
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
