@@ -6,9 +6,9 @@ by the product of its pieces' unigram scores, so a document's score is its
 marginal probability and not that of one segmentation. The file has ranks and no
 probabilities, so the scores start from the ranks (1 / (rank + 100)) and are
 re-estimated on the training documents by expectation maximisation over
-all distinct words, weighed by their counts. The words of the training documents
-are vocabulary entries too: a whole word is one more arc, worth its discounted
-count; the discount's mass goes to the pieces:
+all distinct words. The words of the training documents are vocabulary entries
+too: a whole word is one more arc, worth its discounted count; the discount's
+mass goes to the pieces (each word gives up the same, so each counts once there):
 
     p(word) = max(0, c - d) / N + d V / N * lattice(word),   p(end) = ends / N
 
@@ -162,12 +162,24 @@ def _normal(counts: np.ndarray) -> np.ndarray:
     return np.log(counts / counts.sum())
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Larger batches of words: matrices of one length each need many rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def score(
     documents: DataFrame,
     train,
     vocabulary: str,
     *,
-    rounds: int = 2,
+    rounds: int = 3,
     head: int = 200_000,
     text: str = "text",
 ) -> DataFrame:
@@ -200,7 +212,7 @@ def score(
                     for w in words:
                         if w not in held:
                             held[w] = 0
-            if len(held) > 400_000:
+            if len(held) > 250_000:
                 yield from rest()
         if ends:
             held[b""] = ends  # the end; no word is empty
@@ -225,8 +237,8 @@ def score(
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(now.value))
-            for batch in batches:
-                total += expected_counts(batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(float), shared.value, now.value)
+            for batch in _gathered(batches):
+                total += expected_counts(batch.column("word").to_pylist(), np.ones(batch.num_rows), shared.value, now.value)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
 
@@ -238,7 +250,7 @@ def score(
     final = spark.sparkContext.broadcast(scores)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(float)
             inner = log_likelihoods(words, shared.value, final.value)
             whole = np.maximum(0, n - discount) / max(n_all, 1)

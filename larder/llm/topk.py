@@ -30,7 +30,6 @@ from larder.llm.scratch import Scratch
 
 BUCKET, BLOCK = 2048, 256
 FOCUS = 4
-_BOUND = 2.0**62
 
 
 def integers(vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding", scale: float = 256.0) -> DataFrame:
