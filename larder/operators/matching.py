@@ -6,28 +6,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def tiered(new: DataFrame, old: DataFrame, most: int = 5) -> DataFrame:
+def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False) -> DataFrame:
     """(new_id, old_id, tier, confidence): the first tier that has a match, its `most` first by id.
 
     Tier 1: equal name, brand and weight. Tier 2: the brand's names that contain
     the name. Tier 3: the brand. Each tier looks only at products that the tier
     before left over, and all tiers are equi joins; the brand's candidates are
-    cut to the first `most` before the join where any will do.
+    cut to the first `most` before the join where any will do. With `earlier`,
+    only smaller ids than the product's own match; the first `most` are still
+    the smallest of those.
     """
+    before = F.col("old_id") < F.col("new_id") if earlier else F.lit(True)
     n = new.select(F.col("product_id").alias("new_id"), "product_name", "brand", "weight")
     o = old.select(F.col("product_id").alias("old_id"), "product_name", "brand", "weight")
-    first = n.join(o, ["product_name", "brand", "weight"]).select("new_id", "old_id")
+    alike = Window.partitionBy("product_name", "brand", "weight").orderBy("old_id")
+    same = o.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= most)
+    first = n.join(same, ["product_name", "brand", "weight"]).where(before).select("new_id", "old_id")
     left = n.join(first.select("new_id").distinct(), "new_id", "left_anti")
     # a brand has few names, so names meet before products do
     names = o.select("brand", F.col("product_name").alias("old_name")).distinct()
     like = left.join(names, "brand").where(F.contains("old_name", "product_name")).select("new_id", "brand", "old_name")
     by_name = Window.partitionBy("brand", "product_name").orderBy("old_id")
     few = o.withColumn("_r", F.row_number().over(by_name)).where(F.col("_r") <= most)
-    second = like.join(few.select("brand", F.col("product_name").alias("old_name"), "old_id"), ["brand", "old_name"]).select("new_id", "old_id")
+    second = like.join(few.select("brand", F.col("product_name").alias("old_name"), "old_id"), ["brand", "old_name"]).where(before).select("new_id", "old_id")
     left = left.join(second.select("new_id").distinct(), "new_id", "left_anti")
     by_brand = Window.partitionBy("brand").orderBy("old_id")
     any_ = o.withColumn("_r", F.row_number().over(by_brand)).where(F.col("_r") <= most)
-    third = left.join(any_.select("brand", "old_id"), "brand").select("new_id", "old_id")
+    third = left.join(any_.select("brand", "old_id"), "brand").where(before).select("new_id", "old_id")
     tagged = [x.withColumns({"tier": F.lit(k), "confidence": F.lit(c)}) for x, k, c in ((first, 1, 100), (second, 2, 80), (third, 3, 60))]
     all_ = tagged[0].union(tagged[1]).union(tagged[2])
     place = F.row_number().over(Window.partitionBy("new_id").orderBy("old_id"))

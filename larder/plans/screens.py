@@ -173,7 +173,7 @@ FROM conversations WHERE role = 'assistant' AND length(text) > 5 GROUP BY conv_i
 
 
 def submit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New requests: done at once where the product is enriched already, else queued by priority; one row a state."""
+    """As submit_requests_all, of every third id against every second, as its SQL says; the priority is then always 0."""
     r = v.registry(spark, sf_dir)
     cached = r.where("status = 'completed' and file_id % 2 = 0").select("worker").distinct()
     asked = r.where("file_id % 3 = 0")
@@ -187,6 +187,25 @@ a AS (SELECT file_id, worker IN (SELECT worker FROM c) AS hit FROM v_registry WH
 SELECT CASE WHEN hit THEN 'completed' ELSE 'queued' END AS state, CASE WHEN hit THEN 0 ELSE file_id % 3 END::INT AS priority, count(*) AS requests, min(file_id) AS first FROM a GROUP BY ALL"""
 
 
+def submit_requests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending requests: done at once where the worker completed one before, else queued; one row a state and priority.
+
+    The table has no priorities, so ids give them in turn: 1 is high, 3 is low.
+    """
+    r = v.registry(spark, sf_dir)
+    cached = r.where("status = 'completed'").groupBy("worker").agg(F.min("started_at").alias("since"))
+    asked = r.where("status = 'pending'").join(cached, "worker", "left")
+    state = F.when(F.col("since") < F.col("started_at"), "completed").otherwise("queued")
+    return asked.select("file_id", state.alias("state"), (F.col("file_id") % 3 + 1).cast("int").alias("priority")).groupBy("state", "priority").agg(
+        F.count("*").alias("requests"), F.min("file_id").alias("first")
+    )
+
+
+SUBMIT_REQUESTS_ALL = f"""WITH {v.REGISTRY}, a AS (SELECT file_id, EXISTS (FROM v_registry c WHERE c.worker = r.worker AND c.status = 'completed' AND c.started_at < r.started_at) AS hit
+  FROM v_registry r WHERE status = 'pending')
+SELECT CASE WHEN hit THEN 'completed' ELSE 'queued' END AS state, (file_id % 3 + 1)::INT AS priority, count(*) AS requests, min(file_id) AS first FROM a GROUP BY ALL"""
+
+
 def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut-off JSON answers: the unfinished field goes, the brace is closed, missing fields get defaults."""
     cut = F.concat(F.lit('{"name": "n'), F.col("file_id").cast("string"), F.lit('", "k": '), F.get_json_object("props", "$.k"), F.lit(', "brand": "Re'))
@@ -270,6 +289,7 @@ QUERIES = {
     "image_quality": (image_quality, IMAGE_QUALITY),
     "longest_answer": (longest_answer, LONGEST_ANSWER),
     "submit_requests": (submit_requests, SUBMIT_REQUESTS),
+    "submit_requests_all": (submit_requests_all, SUBMIT_REQUESTS_ALL),
     "repaired_json": (repaired_json, REPAIRED_JSON),
     "extraction_rates": (extraction_rates, EXTRACTION_RATES),
     "descriptions": (descriptions, _descriptions_sql()),

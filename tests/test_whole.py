@@ -32,3 +32,32 @@ def test_all_users(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
     got = {(r["worker"], r["accesses"]) for r in QUERIES["user_products_all"](spark, str(tmp_path)).collect()}
     assert got == {(3, 1), (20, 2)}
+
+
+def _parts(spark, folder, rows):
+    """rows: part, name, brand, size."""
+    df = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int")
+    df.selectExpr("*", "'t' p_type", "10.0D p_retailprice").write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+def test_all_products_are_matched(spark, tmp_path):
+    d = _parts(spark, tmp_path, [(1, "ab", "x", 1), (2, "a", "x", 1), (3, "a", "x", 1), (40, "c", "x", 1), (41, "a", "y", 1), (42, "c", "x", 1)])
+    got = {(r["new_id"], r["old_id"], r["tier"]) for r in QUERIES["dedup_tiered_all"](spark, d).collect()}
+    assert got == {(2, 1, 2), (3, 2, 1), (40, 1, 3), (40, 2, 3), (40, 3, 3), (42, 40, 1)}
+
+
+def test_all_offers_are_judged(spark, tmp_path):
+    _parts(spark, tmp_path, [(5, "a", "x", 1)])
+    d = _lines(spark, tmp_path, [(1, 4, 5, 1, "A", "O", 0.0), (2, 1, 5, 7, "A", "O", 0.0), (3, 5, 5, 1, "A", "O", 0.0)])
+    got = {(r["offer_id"], r["action"], r["kinds"]) for r in QUERIES["dedup_conflicts_all"](spark, d).collect()}
+    assert got == {(14, "ask", "price"), (21, "update", "weight"), (35, "ask", "price")}
+    assert [tuple(r) for r in QUERIES["pending_conflicts_all"](spark, d).collect()] == [(5, "a", "10,00 €", 2)]
+
+
+def test_requests_by_status_and_time(spark, tmp_path):
+    at = lambda n: datetime.datetime(2024, 1, n)
+    rows = [(1, 1, at(2), "click", 1.0, "{}"), (2, 1, at(1), "signup", 1.0, "{}"), (4, 1, at(3), "signup", 1.0, "{}"), (5, 2, at(3), "signup", 1.0, "{}")]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(r) for r in QUERIES["submit_requests_all"](spark, str(tmp_path)).select("state", "priority", "requests", "first").collect()}
+    assert got == {("queued", 3, 2, 2), ("completed", 2, 1, 4)}
