@@ -50,6 +50,13 @@ def name_dedup(name: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(low, r"[^\p{L}\p{N}\s]", ""), r"\s+", " "))
 
 
+def name_matched(name: Column) -> Column:
+    """The first known word in place of the whole name, without punctuation."""
+    low = F.lower(name)
+    plain = first_hit(low, fixed.DEDUP_NAMES, low)
+    return strip(F.regexp_replace(F.regexp_replace(plain, r"[^\p{L}\p{N}\s]", ""), r"\s+", " "))
+
+
 def name_simple(name: Column) -> Column:
     low = strip(F.lower(name))
     return first_hit(low, fixed.SIMPLE_NAMES, low)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions import text as t
+
 
 def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False) -> DataFrame:
     """(new_id, old_id, tier, confidence): the first tier that has a match, its `most` first by id.
@@ -39,6 +41,61 @@ def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False)
     return all_.withColumn("_p", place).where(F.col("_p") <= most).drop("_p")
 
 
+def _pieces(text):
+    """The distinct pieces of one to three characters."""
+    at = F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1)))
+    cut = lambda k: F.transform(at, lambda i: text.substr(i, F.lit(k)))
+    return F.array_distinct(F.concat(cut(1), cut(2), cut(3)))
+
+
+def containing(needles: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """(needle, old_id): for each needle the `most` first ids of (old_id, text) whose text contains it.
+
+    Distinct texts meet a needle by the needle's rarest piece of three characters
+    (all of a shorter one), so no pair that contains it is lost and the join is an
+    equi join. An empty needle is in every text.
+    """
+    by_text = Window.partitionBy("text").orderBy("old_id")
+    few = texts.where("text is not null").distinct().withColumn("_r", F.row_number().over(by_text)).where(F.col("_r") <= most).drop("_r")
+    posts = few.select("text").distinct().select("text", F.explode(_pieces(F.col("text"))).alias("piece"))
+    needles = needles.select("needle").distinct()
+    asked = needles.where("needle <> ''").select("needle", F.explode(_pieces(F.col("needle"))).alias("piece"))
+    asked = asked.where(F.char_length("piece") == F.least(F.lit(3), F.char_length("needle")))
+    counts = posts.groupBy("piece").agg(F.count("*").alias("n"))
+    rarest = asked.join(counts, "piece").groupBy("needle").agg(F.min(F.struct("n", "piece")).alias("p")).select("needle", F.col("p.piece").alias("piece"))
+    pairs = rarest.join(posts, "piece").where(F.contains("text", "needle")).select("needle", "text")
+    found = pairs.join(few, "text").select("needle", "old_id")
+    any_ = few.select("old_id").distinct().orderBy("old_id").limit(most)
+    found = found.union(needles.where("needle = ''").crossJoin(any_)).distinct()
+    place = F.row_number().over(Window.partitionBy("needle").orderBy("old_id"))
+    return found.withColumn("_p", place).where(F.col("_p") <= most).drop("_p")
+
+
+def tiered_wide(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False) -> DataFrame:
+    """(new_id, old_id, tier, confidence) as tiered, by normalised names and across brands.
+
+    Tier 1: equal signature. Tier 2: the normalised name is in any product's name
+    or canonical name, in any case. Tier 3: the brand is in the product's brand.
+    """
+    before = F.col("old_id") < F.col("new_id") if earlier else F.lit(True)
+    low = lambda c: t.strip(F.lower(F.coalesce(F.col(c), F.lit(""))))
+    plain = t.name_matched(F.coalesce(F.col("product_name"), F.lit("")))
+    signature = F.concat_ws("_", low("brand"), plain, low("weight"))
+    n = new.select(F.col("product_id").alias("new_id"), plain.alias("name"), F.lower("brand").alias("brand"), signature.alias("signature"))
+    o = old.select(F.col("product_id").alias("old_id"), "product_name", F.lower("brand").alias("brand"), signature.alias("signature"))
+    alike = Window.partitionBy("signature").orderBy("old_id")
+    same = o.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= most).select("signature", "old_id")
+    first = n.join(same, "signature").where(before).select("new_id", "old_id")
+    left = n.join(first.select("new_id").distinct(), "new_id", "left_anti")
+    names = o.select("old_id", F.explode(F.array(F.lower("product_name"), t.name_builder(F.col("product_name")))).alias("text"))
+    second = left.join(containing(left.select(F.col("name").alias("needle")), names, most), F.col("name") == F.col("needle")).where(before).select("new_id", "old_id")
+    left = left.join(second.select("new_id").distinct(), "new_id", "left_anti").where("brand <> ''")
+    brands = o.select("old_id", F.col("brand").alias("text"))
+    third = left.join(containing(left.select(F.col("brand").alias("needle")), brands, most), F.col("brand") == F.col("needle")).where(before).select("new_id", "old_id")
+    tagged = [x.withColumns({"tier": F.lit(k), "confidence": F.lit(c)}) for x, k, c in ((first, 1, 100), (second, 2, 80), (third, 3, 60))]
+    return tagged[0].union(tagged[1]).union(tagged[2])
+
+
 def conflicts(offers: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Per offer: how many fields conflict, which, whether a person must decide, and the action.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larder.functions import fixed
 from larder.functions import text as t
 from larder.plans import views as v
-from larder.operators.matching import conflicts, tiered
+from larder.operators.matching import conflicts, tiered, tiered_wide
 
 
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,26 @@ f AS (SELECT *, min(tier) OVER (PARTITION BY new_id) AS least FROM m)
 SELECT new_id, old_id, tier, CASE tier WHEN 1 THEN 100 WHEN 2 THEN 80 ELSE 60 END AS confidence FROM f WHERE tier = least QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY old_id) <= 5"""
 
 
+def dedup_tiered_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every product its five first earlier matches of the first tier that has any: signature, name in any name, brand in any brand."""
+    p = v.product(spark, sf_dir).select("product_id", "product_name", "brand", "weight")
+    return tiered_wide(p, p, earlier=True)
+
+
+def _wide_sql() -> str:
+    from larder.plans.stats import _builder_name_sql
+
+    known = " ".join(f"WHEN contains(lower(product_name), '{a}') THEN '{b}'" for a, b in fixed.DEDUP_NAMES)
+    plain = rf"trim(regexp_replace(regexp_replace(CASE {known} ELSE lower(product_name) END, '[^\p{{L}}\p{{N}}\s]', '', 'g'), '\s+', ' ', 'g'))"
+    return f"""WITH {v.PRODUCT}, s AS (SELECT product_id, {plain} AS plain, lower(product_name) AS name, {_builder_name_sql('product_name')} AS canonical, lower(brand) AS brand,
+  trim(lower(brand)) || '_' || plain || '_' || trim(lower(weight)) AS signature FROM v_product),
+m AS (SELECT n.product_id AS new_id, o.product_id AS old_id, CASE WHEN n.signature = o.signature THEN 1
+  WHEN contains(o.name, n.plain) OR contains(o.canonical, n.plain) THEN 2 WHEN n.brand <> '' AND contains(o.brand, n.brand) THEN 3 END AS tier
+  FROM s n JOIN s o ON o.product_id < n.product_id),
+f AS (SELECT *, min(tier) OVER (PARTITION BY new_id) AS least FROM m WHERE tier IS NOT NULL)
+SELECT new_id, old_id, tier, CASE tier WHEN 1 THEN 100 WHEN 2 THEN 80 ELSE 60 END AS confidence FROM f WHERE tier = least QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY old_id) <= 5"""
+
+
 def dedup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As dedup_conflicts_all, of every seventh offer id, as its SQL says."""
     new = v.offer(spark, sf_dir).where("offer_id % 7 = 0")
@@ -243,6 +263,7 @@ QUERIES = {
     "dedup_exact": (dedup_exact, DEDUP_EXACT),
     "dedup_tiered": (dedup_tiered, DEDUP_TIERED),
     "dedup_tiered_all": (dedup_tiered_all, DEDUP_TIERED_ALL),
+    "dedup_tiered_wide": (dedup_tiered_wide, _wide_sql()),
     "dedup_conflicts": (dedup_conflicts, DEDUP_CONFLICTS),
     "dedup_conflicts_all": (dedup_conflicts_all, DEDUP_CONFLICTS_ALL),
     "pending_conflicts": (pending_conflicts, PENDING_CONFLICTS),

@@ -61,3 +61,13 @@ def test_requests_by_status_and_time(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
     got = {tuple(r) for r in QUERIES["submit_requests_all"](spark, str(tmp_path)).select("state", "priority", "requests", "first").collect()}
     assert got == {("queued", 3, 2, 2), ("completed", 2, 1, 4)}
+
+
+def test_matches_across_brands_and_case(spark, tmp_path):
+    rows = [
+        (1, "Rote  Bete!", "Alna", 1), (2, "rote bete", "ALNA", 1), (3, "BETE", "Rewe", 1), (4, "Kohl", "rewe", 2), (5, "Mus", "Ewe", 1),
+        (6, "Bio Apfel", "x", 1), (7, "Apfel rot", "X", 1), (8, "...", "q", 1), (9, "ot", "q", 1), (10, "Saft", "", 1),
+    ]
+    got = {(r["new_id"], r["old_id"], r["tier"]) for r in QUERIES["dedup_tiered_wide"](spark, _parts(spark, tmp_path, rows)).collect()}
+    first = {(8, k, 2) for k in range(1, 6)}
+    assert got == {(2, 1, 1), (3, 1, 2), (3, 2, 2), (4, 3, 3), (5, 3, 3), (5, 4, 3), (7, 6, 1), (9, 1, 2), (9, 2, 2), (9, 7, 2)} | first
