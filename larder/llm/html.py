@@ -9,8 +9,8 @@ into content and the rest (the two-means cut of the logarithms, after Weninger,
 Hsu and Han, CETR, 2010). Lines in an element that says it is no content (nav,
 header, footer, aside, form, script ..., or a class, id or role of such a name)
 never count. Content regions are the containers that hold content lines: an
-article or main element if one has any, else the runs of lines around content
-lines under one container; all their lines are returned, short ones too.
+article or main element if one has any, else all containers with a content line
+that is not mostly links; all their lines are returned, short ones too.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a newline in page order. Null or empty html, and pages
@@ -42,7 +42,7 @@ BLOCK = frozenset(
 #: Elements that hold no article text.
 NO_CONTENT = frozenset(
     "head title nav header footer aside form script style noscript template iframe object svg canvas button select "
-    "textarea input menu dialog figcaption audio video map datalist".split()
+    "textarea input menu dialog audio video map datalist".split()
 )
 #: Words of class, id and role that name other parts of a page.
 NO_CONTENT_NAMES = frozenset(
@@ -177,18 +177,13 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     ratios = np.array([max(0, len(t) - linked) / max(1, tags + linked / 8) for t, tags, linked, _, _ in lines])
     smoothed = np.log1p(smooth(ratios, sigma))
     content = smoothed >= threshold(smoothed)
-    weight: dict[tuple[str, int], float] = {}
-    for line, c in zip(lines, content):
-        if c:
-            weight[_container(line[4])] = weight.get(_container(line[4]), 0) + len(line[0])
-    main = {k for k in weight if k[0] in MAIN}
-    if main:
-        keep = [_container(x[4]) in main for x in lines]
-    else:
-        most = max(weight.values())
-        regions = {k for k, v in weight.items() if v >= most / 20}
-        keep = [_container(x[4]) in regions and x[2] < 0.5 * len(x[0]) + 1 for x in lines]
-    return "\n".join(x[0] for x, k in zip(lines, keep) if k)
+    found = [x for x, c in zip(lines, content) if c]
+    # a menu beside the text passes by its neighbour's ratio: links alone open no region, but stay in one
+    own = [x for x in found if x[2] < 0.5 * len(x[0]) + 1]
+    regions = {_container(x[4]) for x in found}
+    main = {k for k in regions if k[0] in MAIN}
+    regions = main or {_container(x[4]) for x in own} or regions
+    return "\n".join(x[0] for x in lines if _container(x[4]) in regions)
 
 
 def extract(pages: DataFrame, *, html: str = "html", out: str = "text", sigma: float = 1.0) -> DataFrame:
