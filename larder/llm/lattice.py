@@ -38,8 +38,8 @@ from larder.llm.bpe import read_ranks
 from larder.llm.scratch import Scratch
 from larder.llm.text import mixed, portions, texts
 
-#: Bytes of the longest piece in use; longer ones of the vocabulary are hardly words.
-LONGEST = 16
+#: Bytes of the longest blank piece in use; a word holds no longer run of spaces.
+BLANK = 16
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,9 +50,10 @@ class Pieces:
         ok = [
             (rank, t)
             for t, rank in ranks.items()
-            if len(t) <= LONGEST and t == t.lower() and t.removeprefix(b" ").split() in ([], [t.removeprefix(b" ")])
+            if (t.strip() or len(t) <= BLANK) and t == t.lower() and t.removeprefix(b" ").split() in ([], [t.removeprefix(b" ")])
         ]
         self.tokens = [t for _, t in sorted(ok)]
+        self.lengths = {1, *map(len, self.tokens)}
         self.start = np.array([-math.log(r + 100) for r, _ in sorted(ok)])
         keys = np.array([_hash(np.frombuffer(t, np.uint8)[None])[0] for t in self.tokens], np.uint64)
         bits = (4 * len(keys)).bit_length()
@@ -86,9 +87,10 @@ class Pieces:
         rows, width = m.shape
         wide = m.astype(np.uint64)
         h, out = np.zeros_like(wide), {}
-        for n in range(1, min(LONGEST, width) + 1):
+        for n in range(1, min(max(self.lengths), width) + 1):
             h = h[:, : width - n + 1] * _P + (wide[:, n - 1 :] + np.uint64(1))
-            out[n] = self.find(mixed(h).ravel()).reshape(h.shape)
+            if n in self.lengths:
+                out[n] = self.find(mixed(h).ravel()).reshape(h.shape)
         return out
 
 
