@@ -17,10 +17,10 @@ the same result and splits over tasks.
 
 Words are runs of [^\x20\x09-\x0D], unchanged; equality is of words, not of
 hashes. Rows with equal texts are one document for the search: the later ones
-lose all words that windows cover. Documents go by id (null first), rows of one
-id as the table has them. Null, empty and short texts keep everything. An
-empty table gives an empty result. Extra columns pass through; one called as a
-result's column is replaced.
+lose all words that windows cover, the first keeps them. Documents go by id (null
+first), rows of one id as the table has them. Null, empty and short texts keep
+everything. An empty table gives an empty result. Extra columns pass through; one
+called as a result's column is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,9 +166,10 @@ def remove_repeats(
     """Every row with n_words, n_removed and kept: the words left, joined by one space."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
-    keyed = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), F.md5(F.coalesce(text, F.lit(""))).alias("text_key")
-    )
+    source = F.col(f"doc.`{text}`")
+    # each row gets a number that stays, so rows alike in all their columns are told apart
+    numbered = scratch.keep(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).withColumn("row", F.monotonically_increasing_id()))
+    rows = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), source.alias("text"), F.md5(F.coalesce(source, F.lit(""))).alias("text_key"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -185,19 +186,14 @@ def remove_repeats(
             offsets = pa.array(np.searchsorted(doc[new], np.arange(batch.num_rows + 1)), pa.int32())
             keys = pa.ListArray.from_arrays(offsets, pa.array(hashed_[new].view(np.int64)))
             at = pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))
-            sizes = np.diff(starts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int32()), keys, at,
+                    batch.column("row"), batch.column("doc_id"), batch.column("text_key"), keys, at,
                 ],
-                names=["doc_id", "text_key", "n_words", "anchors", "times"],
+                names=["row", "doc_id", "text_key", "anchors", "times"],
             )
 
-    found = scratch.keep(
-        keyed.mapInArrow(find, "doc_id long, text_key string, n_words int, anchors array<long>, times array<int>").withColumn(
-            "row", F.monotonically_increasing_id()
-        )
-    )
+    found = scratch.keep(rows.mapInArrow(find, "row long, doc_id long, text_key string, anchors array<long>, times array<int>"))
     # the first row of each text stands for it
     firsts = scratch.keep(
         found.groupBy("text_key").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("row"))
@@ -208,18 +204,14 @@ def remove_repeats(
         .select("row", F.explode(F.arrays_zip("anchors", "times")).alias("x"))
         .select("row", F.col("x.anchors").alias("anchor"), F.col("x.times").alias("times"))
     )
-    often = F.sum("times").over(Window.partitionBy("anchor"))
-    repeated = occurrences.withColumn("often", often).where("often > 1")
+    # counted first and joined back: AQE can split the join where one anchor is everywhere
+    often = occurrences.groupBy("anchor").agg(F.sum("times").alias("often")).where("often > 1")
     repeated = scratch.keep(
-        repeated.groupBy("row").agg(F.collect_list(F.struct("anchor", (F.col("often") > most).alias("hot"))).alias("anchors"))
+        occurrences.join(often, "anchor")
+        .groupBy("row")
+        .agg(F.collect_list("anchor").alias("at"), F.collect_list(F.col("often") > most).alias("hot"))
     )
-    info = scratch.keep(found.select("row", "doc_id", "text_key", "n_words"))
     scratch.drop(found)
-    wanted = info.join(repeated, "row").select(
-        "row", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key", F.transform("anchors", lambda x: x["anchor"]).alias("at"),
-        F.transform("anchors", lambda x: x["hot"]).alias("hot"),
-    )
-    here = keyed.withColumn("_d", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("_d", "doc_id", "text_key", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stretches to look up (cold, hot), and spans that repeat within the document and need no look (again)."""
@@ -259,7 +251,7 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     stretches = scratch.keep(
-        here.join(wanted, ["_d", "text_key"])
+        rows.join(repeated, "row")
         .select("row", "doc_id", "text", "at", "hot")
         .mapInArrow(cut, "row long, doc_id long, anchor long, begin int, end int, stretch binary, kind string")
     )
@@ -285,21 +277,10 @@ def remove_repeats(
     gone = cold.union(again).union(later).union(inner)
     gone = scratch.keep(gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
     scratch.drop(stretches)
-    # rows alike in id and text: one is the first, so each takes a decision of its own
-    decided = (
-        info.join(firsts.withColumn("is_first", F.lit(True)), "row", "left")
-        .join(gone, "row", "left")
-        .groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_d"), "text_key")
-        .agg(F.sort_array(F.collect_list(F.struct("row", F.col("is_first").isNull().alias("copy"), "spans"))).alias("each"))
-    )
-    nth = F.row_number().over(Window.partitionBy("_d", "text_key").orderBy(F.lit(0)))
     whole = (
-        documents.select(F.struct(*documents.columns).alias("doc"))
-        .withColumns({"_d": F.coalesce(F.col("doc.doc_id").cast("long"), F.lit(-(1 << 63))), "text_key": F.md5(F.coalesce(f"doc.{text}", F.lit("")))})
-        .withColumn("_n", nth)
-        .join(decided, ["_d", "text_key"])
-        .select("doc", F.element_at("each", F.col("_n")).alias("way"))
-        .select("doc", F.col("way.copy").alias("copy"), F.col("way.spans").alias("spans"))
+        numbered.join(firsts.withColumn("is_first", F.lit(True)), "row", "left")
+        .join(gone, "row", "left")
+        .select("doc", F.col("is_first").isNull().alias("copy"), "spans")
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

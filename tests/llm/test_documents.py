@@ -245,6 +245,21 @@ def test_substrings_against_brute_force(documents, rows, most):
     assert found == _without_repeats(rows)
 
 
+@pytest.mark.parametrize("most", [1, 2000])
+def test_a_repeated_row_keeps_its_first_copy(spark, most):
+    """A passage of repeated rows stays in the first of them; null ids come first."""
+    w = " ".join(f"r{k}" for k in range(40))
+    v = " ".join(f"v{k}" for k in range(30))
+    rows = [(1, w, "a"), (1, w, "a"), (2, f"{w} more {v}", "b"), (None, v, "c"), (None, v, "c"), (-(1 << 63), v, None), (3, None, None), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = substrings.remove_repeats(df.coalesce(1), most=most).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    found = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=key)
+    ordered = [(-(1 << 64) if d is None else d, t, s) for d, t, s in rows]
+    want = sorted(((None if d == -(1 << 64) else d, n, gone, kept) for d, n, gone, kept in _without_repeats(ordered)), key=key)
+    assert found == want
+
+
 def test_automaton_matching_statistics():
     import random
 
