@@ -14,15 +14,18 @@ and no task needs two whole sets, and long documents are split like any other.
    Before the counting, 512 parities a document (each n-gram flips one cell) give
    a lower bound on how far two sets differ; pairs beyond what t allows go.
 3. Only components are asked for, so pairs inside a component need no look. In a
-   round, each n-gram's documents are paired with one hub, the least by a hash,
-   so that n-grams of the same documents choose the same; links are verified and
-   contracted, and the next round pairs across components with other hubs. What
-   then still stands apart is paired in full. No link between components can be
+   round, each n-gram's documents meet `hubs` of them, the least by a hash each,
+   so that n-grams of the same documents choose the same. A document's nearest hub
+   outside its component by the parities is verified, links are contracted, and
+   the next round has other hubs, as long as that finds links. Then, for each n-gram, documents outside its largest
+   component meet all others of the n-gram. No link between components can be
    lost, and a group of copies costs its size, not its square.
 
-The order uses counts of n-grams that are frequent anywhere, from one pass over
-all documents, held to the `hot` most frequent. Any fixed order gives the same
-result; this one keeps common passages out of the prefixes.
+The order goes by the counts of n-grams that are frequent anywhere, from one pass
+over all documents, held to the `hot` most frequent, and then by hash. Any fixed
+order gives the same result; this one keeps common passages out of the prefixes.
+Half of the fragments divide the n-grams without such a count, half those with
+one, so that each has an equal share.
 
 n-grams are compared as 64-bit hashes. A text with fewer than n words is one
 n-gram, its whole sequence; null, empty and blank texts have an empty set and
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.components import connected
@@ -61,6 +64,8 @@ def gram_sets(some: list[bytes], n: int, hashes: WordHashes) -> Iterator[np.ndar
 
 #: Cells of the parity filter: two sets differ in at least as many n-grams as their parities do in cells.
 BITS = 512
+#: Rows of three numbers that are broadcast to find their texts; with more, texts are shuffled.
+SENT = 100_000
 #: n-grams that a task counts at a time.
 COUNTED = 4_000_000
 
@@ -103,11 +108,42 @@ def _frequent(documents: DataFrame, n: int, text: str, hot: int) -> tuple[np.nda
     return grams[order], got["n"].to_numpy()[order]
 
 
-def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -> DataFrame:
+class Order:
+    """The global order: n-grams without a count by hash, then the counted ones, the rarest first; and its fragments."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, fragments: int):
+        self.grams, self.counts = grams, counts
+        self.many = many = fragments // 2 if len(grams) else 0
+        self.rare = fragments - many
+        self.hash_cuts = np.array([k * ((1 << 64) // self.rare) for k in range(1, self.rare)], np.uint64)
+        by_count = np.sort(counts)
+        share = np.cumsum(by_count)
+        self.count_cuts = by_count[np.searchsorted(share, [share[-1] * k // many for k in range(1, many)])] if many else by_count[:0]
+
+    def count(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros(len(s), np.int64)
+        at = np.minimum(np.searchsorted(self.grams, s), len(self.grams) - 1)
+        return np.where(self.grams[at] == s, self.counts[at], 0)
+
+    def sort(self, s: np.ndarray) -> np.ndarray:
+        return s[np.lexsort((s, self.count(s)))]
+
+    def split(self, s: np.ndarray) -> list[np.ndarray]:
+        """A set cut into its parts in each fragment."""
+        n = self.count(s)
+        at = np.searchsorted(self.hash_cuts, s, "right")
+        if self.many:
+            at = np.where(n > 0, self.rare + np.searchsorted(self.count_cuts, n), at)
+        order = np.argsort(at, kind="stable")
+        return np.split(s[order], np.searchsorted(at[order], np.arange(1, self.rare + self.many)))
+
+
+def _prefixes(documents: DataFrame, n: int, percent: int, text: str, order) -> DataFrame:
     """(doc_id, text_key, n, set_key, bits, prefix) of each document; bits: parities of the n-grams dealt to BITS cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (grams, counts) = WordHashes(), frequent.value
+        hashes = WordHashes()
         for batch in portions(batches, "_text"):
             sizes, keys, prefixes, bits = [], [], [], []
             for s in gram_sets(texts(batch, "_text"), n, hashes):
@@ -115,10 +151,7 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 parity = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
                 bits.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
-                if len(grams) and len(s):
-                    at = np.minimum(np.searchsorted(grams, s), len(grams) - 1)
-                    s = s[np.lexsort((s, np.where(grams[at] == s, counts[at], 0)))]
-                prefixes.append(s[: len(s) - -(-percent * len(s) // 100) + 1].view(np.int64))
+                prefixes.append(order.value.sort(s)[: len(s) - -(-percent * len(s) // 100) + 1].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -136,9 +169,8 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, frequent) -
     )
 
 
-def _segments(documents: DataFrame, n: int, text: str, fragments: int) -> DataFrame:
-    """(c, fragment, grams): each document's set, cut by the hash range of its n-grams."""
-    cuts = (np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments)).astype(np.uint64)
+def _segments(documents: DataFrame, n: int, text: str, order) -> DataFrame:
+    """(c, fragment, grams): each document's set, cut at the borders of the order's fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -148,7 +180,7 @@ def _segments(documents: DataFrame, n: int, text: str, fragments: int) -> DataFr
                 if c in seen:  # a row alike in id and text
                     continue
                 seen.add(c)
-                for k, part in enumerate(np.split(s, np.searchsorted(s, cuts))):
+                for k, part in enumerate(order.value.split(s)):
                     cs.append(c)
                     at.append(k)
                     grams.append(part.view(np.int64))
@@ -168,7 +200,8 @@ def near_duplicates(
     percent: int = 80,
     fragments: int = 4,
     hot: int = 500_000,
-    rounds: int = 2,
+    rounds: int = 4,
+    hubs: int = 8,
     text: str = "text",
 ) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id) of every row; text_key is xxhash64 of the text.
@@ -178,8 +211,9 @@ def near_duplicates(
     spark = documents.sparkSession
     scratch = Scratch(spark)
     documents, text = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), "text"
-    frequent = spark.sparkContext.broadcast(_frequent(documents, n, text, hot))
-    whole = scratch.keep(_prefixes(documents, n, percent, text, frequent).withColumn("row", F.monotonically_increasing_id()))
+    # at most `hot` n-grams of 16 bytes
+    order = spark.sparkContext.broadcast(Order(*_frequent(documents, n, text, hot), fragments))
+    whole = scratch.keep(_prefixes(documents, n, percent, text, order).withColumn("row", F.monotonically_increasing_id()))
     sets = scratch.keep(whole.drop("prefix", "bits"))
     # a class is known by its first row; the key joins it to its text
     classes = scratch.keep(
@@ -190,9 +224,10 @@ def near_duplicates(
     rep = classes.select(F.col("c").alias("row"))
     posts = whole.select("row", F.col("n").cast("int").alias("n"), "prefix").join(rep, "row", "left_semi")
     posts = posts.select(F.col("row").alias("c"), "n", F.posexplode("prefix").alias("pos", "gram"))
-    size_order = Window.partitionBy("gram").orderBy("n", "c")
-    beside = posts.withColumns({"before": F.lag("n").over(size_order), "after": F.lead("n").over(size_order)})
-    posts = scratch.keep(beside.where("before is not null or after is not null").select("gram", "c", "n", "pos"))
+    # an n-gram counts if it is in the short prefix of a document, and in another's prefix
+    own = (100 + percent) * (F.col("n") - F.col("pos")) >= 2 * percent * F.col("n")
+    shared = posts.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max(own).alias("own")).where("lo <> hi and own")
+    posts = scratch.keep(posts.join(shared.select("gram"), "gram", "left_semi"))
     keys = scratch.keep(whole.join(rep, "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n", "bits"))
     scratch.drop(whole)
 
@@ -203,10 +238,12 @@ def near_duplicates(
         own = (100 + percent) * (na - at) >= 2 * percent * na
         return (100 * na >= percent * nb) & own & (left * (100 + percent) >= percent * (na + nb))
 
+    def differ(a: str, b: str):
+        return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)), F.lit(0))
+
     def near(a: str, b: str, na: str, nb: str):
         """Whether the parities leave room for a link."""
-        differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)), F.lit(0))
-        return differ * (100 + percent) <= (F.col(na) + F.col(nb)) * (100 - percent)
+        return differ(a, b) * (100 + percent) <= (F.col(na) + F.col(nb)) * (100 - percent)
 
     def pairs_of(*found: DataFrame) -> DataFrame:
         out = found[0]
@@ -216,23 +253,32 @@ def near_duplicates(
 
     def segments_of(pairs: DataFrame) -> DataFrame:
         asked = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
-        wanted = keys.join(asked, "c", "left_semi").select("c", F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
+        wanted = scratch.keep(keys.join(asked, "c", "left_semi").select("c", F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")))
+        if wanted.count() <= SENT:
+            wanted = F.broadcast(wanted)
         found = documents.withColumn("_t", F.xxhash64(text)).join(
             wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_k"))
         )
-        return _segments(found.select("c", text), n, text, fragments)
+        return _segments(found.select("c", text), n, text, order)
+
+    def may_pass(pairs: DataFrame) -> DataFrame:
+        """Pairs whose parities leave room for a link, with the sets' sizes and the number of cells that differ."""
+        of = lambda x: keys.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}"))
+        return (
+            pairs.join(of("a"), "a")
+            .join(of("b"), "b")
+            .where(near("bits_a", "bits_b", "na", "nb"))
+            .withColumn("differ", differ("bits_a", "bits_b"))
+            .drop("bits_a", "bits_b")
+        )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs that link: those that the parities let pass, partial overlaps counted fragment by fragment, and summed.
+        """Pairs that link: partial overlaps counted fragment by fragment, and summed.
 
         After each fragment a pair goes if what is left of the shorter set cannot make up the rest.
         """
-        of = lambda x: keys.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits_{x}"))
         open_ = scratch.keep(
-            pairs.join(of("a"), "a")
-            .join(of("b"), "b")
-            .where(near("bits_a", "bits_b", "na", "nb"))
-            .select("a", "b", "na", "nb", F.col("na").alias("left_a"), F.col("nb").alias("left_b"), F.lit(0).cast("long").alias("common"))
+            pairs.select("a", "b", "na", "nb", F.col("na").alias("left_a"), F.col("nb").alias("left_b"), F.lit(0).cast("long").alias("common"))
         )
         segments = scratch.keep(segments_of(open_), partition_by="fragment")
         for k in range(fragments):
@@ -252,9 +298,14 @@ def near_duplicates(
         scratch.drop(segments, open_)
         return links
 
+    def either(a: str, b: str):
+        """may_link, whichever is the shorter."""
+        return F.when(F.struct(f"{a}.n", f"{a}.c") < F.struct(f"{b}.n", f"{b}.c"), may_link(a, b)).otherwise(may_link(b, a))
+
     component = tried = links = None
-    me = F.struct("c", "n", "pos")
+    found, me = True, F.struct("c", "n", "pos", "component")
     for k in range(rounds + 1):
+        last = k == rounds or not found
         if component is None:
             marked = posts.withColumn("component", F.col("c"))
         else:
@@ -263,35 +314,47 @@ def near_duplicates(
             )
             mixed = marked.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
             marked = scratch.keep(marked.join(mixed.select("gram"), "gram", "left_semi"))
-        if k == rounds:
-            # only what may link leaves this join
-            dealt = marked.join(keys.select("c", "bits"), "c").select("gram", F.struct("c", "n", "pos", "component", "bits").alias("x"))
-            x, y = dealt, dealt.withColumnRenamed("x", "y")
+        if last:
+            # an n-gram's largest component needs no look at itself; only what may link leaves this join
+            parts = marked.groupBy("gram", "component").agg(F.count("*").alias("size"))
+            largest = parts.groupBy("gram").agg(F.max(F.struct("size", "component"))["component"].alias("largest"))
+            dealt = marked.join(largest, "gram").withColumn("apart", F.col("component") != F.col("largest"))
+            dealt = scratch.keep(
+                dealt.join(keys.select("c", "bits"), "c").select("gram", F.struct("c", "n", "pos", "component", "bits", "apart").alias("x"))
+            )
+            x, y = dealt.where("x.apart"), dealt.withColumnRenamed("x", "y")
             apart = x.join(
                 y,
                 (x["gram"] == y["gram"])
                 & (F.col("x.component") != F.col("y.component"))
-                & (F.struct("x.n", "x.c") < F.struct("y.n", "y.c"))
-                & may_link("x", "y")
+                & (~F.col("y.apart") | (F.col("x.c") < F.col("y.c")))
+                & either("x", "y")
                 & near("x.bits", "y.bits", "x.n", "y.n"),
             )
             new = pairs_of(apart.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
         else:
-            pick = F.struct(F.xxhash64("c", F.lit(k)).alias("h"), "c", "n", "pos", "component")
-            hubs = marked.groupBy("gram").agg(F.min(pick).alias("hub"))
-            met = marked.withColumn("me", me).join(hubs, "gram").where("hub.component <> component")
-            met = met.where(
-                F.when(F.struct("hub.n", "hub.c") < F.struct("n", "c"), may_link("hub", "me")).otherwise(may_link("me", "hub"))
-            )
-            new = pairs_of(met.select(F.col("hub.c").alias("a"), F.col("c").alias("b")))
-        new = scratch.keep(new.join(tried, ["a", "b"], "left_anti") if tried is not None else new)
-        posts = marked.select("gram", "c", "n", "pos")
-        if new.isEmpty():
-            continue
-        tried = scratch.keep(tried.union(new)) if tried is not None else new
-        more = verified(new)
-        links = scratch.keep(links.union(more)) if links is not None else more
-        component = scratch.keep(connected(links, scratch))
+            pick = [F.min(F.struct(F.xxhash64("c", F.lit(k * hubs + j)).alias("h"), "c", "n", "pos", "component")).alias(f"h{j}") for j in range(hubs)]
+            chosen = marked.groupBy("gram").agg(*pick).select("gram", F.array(*[f"h{j}" for j in range(hubs)]).alias("hubs"))
+            met = marked.select("gram", me.alias("me")).join(chosen, "gram").select("me", F.explode(F.array_distinct("hubs")).alias("hub"))
+            met = met.where("hub.component <> me.component").where(either("hub", "me"))
+            met = met.select(F.col("me.c").alias("c"), F.col("hub.c").alias("o")).distinct()
+            new = met.withColumns({"a": F.least("c", "o"), "b": F.greatest("c", "o")})
+        new = may_pass(new.join(tried, ["a", "b"], "left_anti") if tried is not None else new)
+        if not last:
+            new = new.groupBy("c").agg(F.min_by(F.struct("a", "b", "na", "nb"), F.struct("differ", "o")).alias("best")).select("best.*").distinct()
+        new = scratch.keep(new.select("a", "b", "na", "nb"))
+        posts, found = marked.select("gram", "c", "n", "pos"), False
+        if not new.isEmpty():
+            asked = new.select("a", "b")
+            tried = scratch.keep(tried.union(asked)) if tried is not None else asked
+            more = verified(new)
+            found = not more.isEmpty()
+        if found:
+            links = scratch.keep(links.union(more)) if links is not None else more
+            component = scratch.keep(connected(links, scratch))
+        if last:
+            break
+    order.destroy()
     if component is None:
         component = spark.createDataFrame([], "node long, component long")
     named = classes.join(component, classes["c"] == component["node"], "left").withColumn(

@@ -194,9 +194,9 @@ def _components(rows):
     return sorted((rows[k][0], len(sets[k]), min(least[root(k)])) for k in range(len(rows)))
 
 
-@pytest.mark.parametrize("hot, rounds", [(0, 0), (500_000, 2)])
-def test_jaccard_components(documents, rows, hot, rounds):
-    got = jaccard.near_duplicates(documents, hot=max(1, hot), rounds=rounds)
+@pytest.mark.parametrize("hot, rounds, hubs, fragments", [(1, 0, 1, 1), (40, 1, 1, 5), (500_000, 4, 8, 4)])
+def test_jaccard_components(documents, rows, hot, rounds, hubs, fragments):
+    got = jaccard.near_duplicates(documents, hot=hot, rounds=rounds, hubs=hubs, fragments=fragments)
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == _components(rows)
 
 
@@ -213,6 +213,42 @@ def test_jaccard_chain_of_near_copies(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == _components(rows)
 
 
+def test_jaccard_group_of_near_copies(spark):
+    """Copies with edits of their own, some too far from most others, and a text that all contain."""
+    import random
+
+    r = random.Random(5)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for k in range(300):
+        w = list(base)
+        for _ in range(r.randrange(7)):
+            at = r.randrange(len(w))
+            w[at : at + 1] = r.choice([[f"e{k}"], [], [f"e{k}", f"f{k}"]])
+        rows.append((k, " ".join(w + [f"g{k}_{j}" for j in range(r.choice([0, 0, 30]))]), "s"))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    want = _components(rows)
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got.collect()) == want
+    assert len({c for _, _, c in want}) > 10
+
+
+def test_jaccard_order_cuts_every_set_alike():
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    grams = np.unique(r.integers(0, 1 << 63, 50, np.int64).astype(np.uint64))
+    for fragments in (1, 2, 3, 4, 7):
+        order = jaccard.Order(grams, r.integers(2, 9, len(grams)), fragments)
+        s = np.unique(np.concatenate([grams[::2], r.integers(0, 1 << 63, 40, np.int64).astype(np.uint64)]))
+        parts = order.split(s)
+        assert len(parts) <= fragments and sorted(np.concatenate(parts)) == sorted(s)
+        whole = order.sort(s).tolist()
+        # a fragment is a stretch of the global order
+        places = [[whole.index(g) for g in part.tolist()] for part in parts]
+        assert all(max(a) < min(b) for a, b in zip([x for x in places if x], [x for x in places if x][1:]))
+        assert len(order.split(s[:0])) == len(parts)
+
+
 def test_jaccard_empty(none):
     assert jaccard.near_duplicates(none).collect() == []
 
