@@ -1,13 +1,16 @@
 """A corpus pipeline: quality, near duplicates, repeated passages, mixing, encoding.
 
 Each stage takes the documents its predecessor kept. All but the last return the
-columns of documents.
+columns of documents. Empty tables give empty tables. Null and empty texts pass
+all stages: they are scored by their measures, link with nothing, have nothing to
+cut, weigh nothing in the mix (which so leaves them out). Null ids are ids like
+others. Of repeated rows the near-duplicate stage keeps one. Extra columns go.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import bpe, jaccard, mixing, quality, substrings
@@ -24,20 +27,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the row with the smallest doc_id stays; documents without words stay."""
-    found = jaccard.near_duplicates(docs)
-    # the component's first row; rows alike in id and text come down to one of them
+    """Of each component the row with the smallest doc_id stays (null last, then table order); documents without words stay."""
+    numbered = Scratch(spark).keep(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = jaccard.near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_row"), "n_shingles", "component_id"
+    )
+    # a component's key is its least row number, so rows of one doc_id but different texts stay apart
     first = (
-        found.where("n_shingles > 0 and doc_id = component_id")
+        numbered.select("_row", "doc_id")
+        .join(found.where("n_shingles > 0"), "_row")
         .groupBy("component_id")
-        .agg(F.min(F.struct("doc_id", "text_key")).alias("f"))
-        .select(F.col("f.doc_id").alias("_d"), F.col("f.text_key").alias("_k"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))["_row"].alias("_row"))
     )
-    empty = found.where("n_shingles = 0 or doc_id is null").select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    kept = first.withColumn("_one", F.lit(True)).union(empty.withColumn("_one", F.lit(False)))
-    joined = docs.withColumn("_t", F.xxhash64("text")).join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_k")))
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("source", "lang"))
-    return joined.withColumn("_n", nth).where("_n = 1 or not _one").select(*COLUMNS)
+    kept = first.select("_row").union(found.where("n_shingles = 0").select("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
