@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.text import portions, small_batches
+from larder.llm.text import lean, portions, small_batches
 
 #: Cached pieces of a task; a full cache is emptied.
 MOST_PIECES = 300_000
@@ -213,6 +213,7 @@ def _added(df: DataFrame, names: list[str], f) -> DataFrame:
     df = df.drop(*names)
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.BinaryType()) for n in names]])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, *columns in f(batches):
             columns = [pa.array(c, pa.binary()) for c in columns]
@@ -234,6 +235,7 @@ def encode(
         for batch in portions(batches, text):
             got = codec.encode([x or "" for x in batch.column(text).to_pylist()])
             yield (batch, got, map(codec.decode, got)) if decoded else (batch, got)
+        codec.cache.clear()
 
     return _added(df, [ids, decoded] if decoded else [ids], run)
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.components import connected
 from larder.llm.scratch import Scratch
-from larder.llm.text import WordHashes, gram_hashes, hashed, portions, texts
+from larder.llm.text import WordHashes, gram_hashes, hashed, lean, portions, texts
 
 
 def gram_sets(some: list[bytes], n: int, hashes: WordHashes) -> Iterator[np.ndarray]:
@@ -67,12 +67,13 @@ BITS = 512
 #: Rows of three numbers that are broadcast to find their texts; with more, texts are shuffled.
 SENT = 100_000
 #: n-grams that a task counts at a time.
-COUNTED = 4_000_000
+COUNTED = 2_000_000
 
 
 def _frequent(documents: DataFrame, n: int, text: str, hot: int) -> tuple[np.ndarray, np.ndarray]:
     """n-grams that some stretch of the documents repeats, with the sum of those counts; the `hot` most frequent."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = WordHashes(), [], 0
 
@@ -142,6 +143,7 @@ class Order:
 def _prefixes(documents: DataFrame, n: int, percent: int, text: str, order) -> DataFrame:
     """(doc_id, text_key, n, set_key, bits, prefix) of each document; bits: parities of the n-grams dealt to BITS cells."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in portions(batches, "_text"):
@@ -172,6 +174,7 @@ def _prefixes(documents: DataFrame, n: int, percent: int, text: str, order) -> D
 def _segments(documents: DataFrame, n: int, text: str, order) -> DataFrame:
     """(c, fragment, grams): each document's set, cut at the borders of the order's fragments."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
         for batch in portions(batches, text, 1 << 20):

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.bpe import read_ranks
 from larder.llm.scratch import Scratch
-from larder.llm.text import mixed, portions, texts
+from larder.llm.text import lean, mixed, portions, texts
 
 #: Bytes of the longest blank piece in use; a word holds no longer run of spaces.
 BLANK = 16
@@ -196,6 +196,7 @@ def score(
     pieces = Pieces(read_ranks(vocabulary))
     shared = spark.sparkContext.broadcast(pieces)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         ends = 0
@@ -237,6 +238,7 @@ def score(
     for _ in range(rounds if v_words else 0):
         now = spark.sparkContext.broadcast(scores)
 
+        @lean
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(now.value))
             for batch in _gathered(batches):
@@ -249,8 +251,10 @@ def score(
         for r in sums:
             counts[r["piece"]] += r["n"]
         scores = _normal(counts)
+        now.destroy()
     final = spark.sparkContext.broadcast(scores)
 
+    @lean
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
             words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(float)
@@ -267,6 +271,7 @@ def score(
         (top["word"].to_pylist(), top["n"].to_numpy().astype(np.int64), top["log_p"].to_numpy().astype(float))
     )
 
+    @lean
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_, n, log_p = top.value
         number = dict(zip(words_, range(len(words_))))
@@ -292,6 +297,8 @@ def score(
         f"doc_id {kinds['doc_id']}, trained boolean, n_tokens long, known long, plus double, log_p double, rest array<struct<word:binary,times:int>>",
     )
     partial = scratch.keep(partial.withColumn("row", F.monotonically_increasing_id()))
+    for sent in (shared, final, top):
+        sent.destroy()
     tails = (
         partial.select("row", F.explode("rest").alias("x"))
         .select("row", F.col("x.word").alias("word"), F.col("x.times").alias("times"))

@@ -211,6 +211,7 @@ def near_duplicates(
         .cogroup(right.select(*by, "c", "u").groupBy(*by))
         .applyInPandas(meet, "c long, other long, n long")
     )
+    shared.destroy()
     direct = links.where("c = other").groupBy("c").agg(F.sum("n").alias("links"))
     parts_ = connected(links.where("c <> other").select(F.col("c").alias("a"), F.col("other").alias("b")), scratch)
     placed = classes.join(direct, "c", "left").join(parts_, classes["c"] == parts_["node"], "left")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.text import portions, small_batches, texts
+from larder.llm.text import lean, portions, small_batches, texts
 
 WORDS, SHAPES, MEASURES = 3072, 896, 128
 TERMS = WORDS + SHAPES + MEASURES
@@ -170,6 +170,7 @@ def fit(
     spark = documents.sparkSession
     chosen = spark.createDataFrame([(r["_id"], r["_y"]) for r in taken], T.StructType(known.schema.fields))
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, df, n = _Buckets(), np.zeros(TERMS, np.int64), 0
         for batch in portions(batches, "text"):
@@ -249,6 +250,7 @@ def classify(documents: DataFrame, model: Model, *, text: str = "text", out: str
     documents = documents.drop(out)
     schema = T.StructType([*documents.schema.fields, T.StructField(out, T.DoubleType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, m = _Buckets(), shared.value
         for batch in portions(batches, text):

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm.scratch import Scratch
-from larder.llm.text import WordHashes, gram_hashes, hashed, portions, texts
+from larder.llm.text import WordHashes, gram_hashes, hashed, lean, portions, texts
 
 
 def anchors(h: np.ndarray, starts: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -171,6 +171,7 @@ def remove_repeats(
     numbered = scratch.keep(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).withColumn("row", F.monotonically_increasing_id()))
     rows = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), source.alias("text"), F.md5(F.coalesce(source, F.lit(""))).alias("text_key"))
 
+    @lean
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in portions(batches, "text"):
@@ -213,6 +214,7 @@ def remove_repeats(
     )
     scratch.drop(found)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stretches to look up (cold, hot), and spans that repeat within the document and need no look (again)."""
         hashes = WordHashes()
@@ -260,7 +262,7 @@ def remove_repeats(
         .repartition("anchor")
         .sortWithinPartitions("anchor", "doc_id", "row", "begin")
         .select("anchor", "row", "begin", "stretch")
-        .mapInArrow(lambda batches: _shards(batches, window), "row long, start int, end int")
+        .mapInArrow(lean(lambda batches: _shards(batches, window)), "row long, start int, end int")
     )
     # hot anchors: equal stretches first, then the windows of what is left, the first of each kept
     hot = stretches.where("kind = 'hot'").withColumn("me", F.struct("doc_id", "row", "begin"))
@@ -283,6 +285,7 @@ def remove_repeats(
         .select("doc", F.col("is_first").isNull().alias("copy"), "spans")
     )
 
+    @lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = [x or b"" for x in batch.column("doc").field(text).cast(pa.binary()).to_pylist()]
