@@ -306,6 +306,7 @@ def near_duplicates(
         return F.when(F.struct(f"{a}.n", f"{a}.c") < F.struct(f"{b}.n", f"{b}.c"), may_link(a, b)).otherwise(may_link(b, a))
 
     component = tried = links = None
+    kept_posts = posts
     found, me = True, F.struct("c", "n", "pos", "component")
     for k in range(rounds + 1):
         last = k == rounds or not found
@@ -317,6 +318,8 @@ def near_duplicates(
             )
             mixed = marked.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
             marked = scratch.keep(marked.join(mixed.select("gram"), "gram", "left_semi"))
+            scratch.drop(kept_posts)
+            kept_posts = marked
         if last:
             # an n-gram's largest component needs no look at itself; only what may link leaves this join
             parts = marked.groupBy("gram", "component").agg(F.count("*").alias("size"))
@@ -358,6 +361,7 @@ def near_duplicates(
         if last:
             break
     order.destroy()
+    scratch.keep_only(sets, classes, *([] if component is None else [component]))
     if component is None:
         component = spark.createDataFrame([], "node long, component long")
     named = classes.join(component, classes["c"] == component["node"], "left").withColumn(

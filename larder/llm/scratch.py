@@ -35,6 +35,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/larder-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
+        self.tables: list[DataFrame] = []
         self.n = 0
 
     def keep(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -43,6 +44,7 @@ class Scratch:
         df.write.parquet(path, partitionBy=partition_by)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = path
+        self.tables.append(kept)
         return kept
 
     def drop(self, *tables: DataFrame) -> None:
@@ -50,6 +52,11 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for t in tables:
+            self.tables = [x for x in self.tables if x is not t]
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(t)))
             path.getFileSystem(conf).delete(path, True)
         jvm.System.gc()
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all but the tables that a lazy result reads."""
+        self.drop(*[t for t in self.tables if not any(t is x for x in tables)])

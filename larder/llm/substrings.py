@@ -278,7 +278,7 @@ def remove_repeats(
     again = stretches.where("kind = 'again'").select("row", F.col("begin").alias("start"), "end")
     gone = cold.union(again).union(later).union(inner)
     gone = scratch.keep(gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
-    scratch.drop(stretches)
+    scratch.keep_only(numbered, firsts, gone)
     whole = (
         numbered.join(firsts.withColumn("is_first", F.lit(True)), "row", "left")
         .join(gone, "row", "left")
