@@ -106,3 +106,40 @@ HEADER_WORDS = (
     "saft", "limonade", "bier", "wein", "tiefkühl", "eis", "pizza", "fertig", "categories", "vegan",
 )
 MEAT_WORDS = ("fleisch", "fisch", "rind", "kalb", "schwein", "hähnchen", "pute")
+# category, subcategory and pattern, in the order in which they are tried
+CATEGORY_PATTERNS = (
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"\b(marmelade|konfitüre|gelee|fruchtaufstrich)\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"\b(samt|extra|weniger zucker|bio)\b.*\b(himbeere|erdbeere|aprikose|kirsche|pflaume|orange|zitrone)\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"\b(himbeere|erdbeere|aprikose|kirsche|pflaume|orange|zitrone)\b.*\b(aufstrich|jam|preserve)\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"\bschwartau\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"\bschwarzer?\w*\b.*\b(frucht|beere)\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"samt.*\b(himbeere|erdbeere|aprikose)\b"),
+    ("Aufschnitt & Brotaufstriche", "Fruchtaufstriche", r"extra.*weniger zucker.*\b(himbeere|erdbeere|aprikose|kirsche)\b"),
+    ("Aufschnitt & Brotaufstriche", "Nuss- & Schokoaufstriche", r"\b(nutella|nuss|haselnuss|erdnuss|mandel)\b.*\b(aufstrich|creme)\b"),
+    ("Aufschnitt & Brotaufstriche", "Nuss- & Schokoaufstriche", r"\b(schoko|schokoladen|kakao)\b.*\b(aufstrich|creme)\b"),
+    ("Aufschnitt & Brotaufstriche", "Nuss- & Schokoaufstriche", r"\b(nougat|praline)\b"),
+    ("Aufschnitt & Brotaufstriche", "Wurst & Fleischaufstriche", r"\b(leberwurst|mettwurst|teewurst|salami)\b"),
+    ("Aufschnitt & Brotaufstriche", "Wurst & Fleischaufstriche", r"\b(fleisch|wurst)\b.*\b(aufstrich|paste)\b"),
+    ("Käse", "Käse", r"\b(käse|cheese|gouda|cheddar|camembert|brie|mozzarella)\b"),
+    ("Käse", "Käse", r"\b(frischkäse|schmelzkäse|hartkäse|weichkäse)\b"),
+    ("Fleisch & Fisch", "Fleisch", r"\b(fleisch|meat|rind|schwein|huhn|hähnchen|pute|kalb)\b"),
+    ("Fleisch & Fisch", "Fleisch", r"\b(steak|schnitzel|hackfleisch|bratwurst)\b"),
+    ("Fleisch & Fisch", "Fisch", r"\b(fisch|fish|lachs|thunfisch|forelle|kabeljau|hering)\b"),
+    ("Fleisch & Fisch", "Fisch", r"\b(salmon|tuna|cod|herring)\b"),
+    ("Obst & Gemüse", "Obst", r"\b(apfel|apple|banane|orange|birne|traube|kiwi|mango)\b"),
+    ("Obst & Gemüse", "Obst", r"\b(beeren|erdbeere|himbeere|blaubeere|brombeere)\b"),
+    ("Obst & Gemüse", "Gemüse", r"\b(gemüse|vegetable|tomate|gurke|paprika|zwiebel|karotte)\b"),
+    ("Obst & Gemüse", "Gemüse", r"\b(salat|spinat|brokkoli|blumenkohl|zucchini)\b"),
+)
+CATEGORY_BRANDS = (
+    ("schwartau", "Aufschnitt & Brotaufstriche", "Fruchtaufstriche"), ("schwarzwald", "Aufschnitt & Brotaufstriche", "Fruchtaufstriche"),
+    ("schwartzau", "Aufschnitt & Brotaufstriche", "Fruchtaufstriche"), ("nutella", "Aufschnitt & Brotaufstriche", "Nuss- & Schokoaufstriche"),
+)
+JAM_TERMS = r"\b(samt|extra|weniger zucker)\b"
+JAM_FRUITS = r"\b(himbeere|erdbeere|aprikose|kirsche)\b"
+# an issue that holds one of these words is critical
+CRITICAL_ISSUES = ("missing header", "missing content", "too small", "too large", "not portrait", "overlaps header", "poor ui coverage")
+SHORT_REFUSALS = ("can't", "cannot", "error", "http", "timeout")
+EXPLANATIONS = ("**", "- **", "extraction rules", "to extract", "follow these steps", "brand prefix", "quantity information", "ignore price")
+QUALITY_BRANDS = ("Dr. Oetker", "Mondamin", "Aurora", "Barebells", "BE-KIND", "Edeka", "Rewe", "Knorr", "Maggi", "Alnatura")
+QUALITY_UNITS = ("g", "kg", "ml", "l", "stk", "/kg", "/stk", "pack")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from larder.plans import enrichment, jobs, matching, parsing, screens, stats, votes
+from larder.plans import enrichment, jobs, matching, parsing, rules, screens, stats, votes
 
-_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES, **enrichment.QUERIES, **screens.QUERIES}
+_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES, **enrichment.QUERIES, **screens.QUERIES, **rules.QUERIES}
 
 
 def queries() -> dict:

@@ -127,11 +127,6 @@ SELECT product_id, any_value(n)::INT AS n, first(w ORDER BY length(w) DESC, k) A
 
 
 def component_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As component_prefix_all, of screens below 500 alone, as its SQL says."""
-    return prefixed(v.box(spark, sf_dir).where("screen < 500"))
-
-
-def component_prefix_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The components of every screen, by prefix."""
     return prefixed(v.box(spark, sf_dir))
 
@@ -144,9 +139,7 @@ def prefixed(boxes: DataFrame) -> DataFrame:
     return met.groupBy("screen", "n").agg(F.count("*").alias("matches"), F.min_by("component", F.struct("ord", "component")).alias("first"))
 
 
-COMPONENT_PREFIX = f"""WITH {v.BOX}, b AS (SELECT screen, ord, 'component_' || x AS component FROM v_box WHERE screen < 500), a AS (SELECT DISTINCT screen, ord % 3 AS n FROM b)
-SELECT a.screen, n, count(*) AS matches, first(component ORDER BY ord, component) AS first FROM a JOIN b ON a.screen = b.screen AND contains(component, 'component_' || n) GROUP BY a.screen, n"""
-COMPONENT_PREFIX_ALL = f"""WITH {v.BOX}, b AS (SELECT screen, ord, 'component_' || x AS component FROM v_box), a AS (SELECT DISTINCT screen, ord % 3 AS n FROM b)
+COMPONENT_PREFIX = f"""WITH {v.BOX}, b AS (SELECT screen, ord, 'component_' || x AS component FROM v_box), a AS (SELECT DISTINCT screen, ord % 3 AS n FROM b)
 SELECT a.screen, n, count(*) AS matches, first(component ORDER BY ord, component) AS first FROM a JOIN b ON a.screen = b.screen AND contains(component, 'component_' || n) GROUP BY a.screen, n"""
 
 
@@ -171,7 +164,6 @@ QUERIES = {
     "first_retailer": (first_retailer, FIRST_RETAILER),
     "zipped_lines": (zipped_lines, ZIPPED_LINES),
     "component_prefix": (component_prefix, COMPONENT_PREFIX),
-    "component_prefix_all": (component_prefix_all, COMPONENT_PREFIX_ALL),
     "greedy_boxes": (greedy_boxes, None),
     "fuzzy_group": (fuzzy_group, None),
 }

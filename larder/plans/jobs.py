@@ -117,11 +117,6 @@ QUALIFY row_number() OVER (PARTITION BY worker ORDER BY started_at DESC, file_id
 
 
 def user_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As user_products_all, of users below 20 alone, as its SQL says."""
-    return user_products_all(spark, sf_dir).where("worker < 20")
-
-
-def user_products_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user's cached products, with how often each was opened and when last."""
     cache = v.registry(spark, sf_dir).withColumn("signature", F.substring(F.md5("event_type"), 1, 16))
     cached = cache.groupBy("worker", "signature").agg(F.count("*").alias("accesses"), F.max("started_at").alias("last"))
@@ -130,8 +125,7 @@ def user_products_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached.join(known, "signature").select("worker", "event_type", "accesses", "last")
 
 
-USER_PRODUCTS = f"""WITH {v.REGISTRY} SELECT worker, event_type, count(*) AS accesses, max(started_at) AS last FROM v_registry WHERE worker < 20 GROUP BY ALL"""
-USER_PRODUCTS_ALL = f"""WITH {v.REGISTRY} SELECT worker, event_type, count(*) AS accesses, max(started_at) AS last FROM v_registry GROUP BY ALL"""
+USER_PRODUCTS = f"""WITH {v.REGISTRY} SELECT worker, event_type, count(*) AS accesses, max(started_at) AS last FROM v_registry GROUP BY ALL"""
 
 
 def session_api_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +269,6 @@ QUERIES = {
     "job_counters": (job_counters, JOB_COUNTERS),
     "heartbeat_latest": (heartbeat_latest, HEARTBEAT_LATEST),
     "user_products": (user_products, USER_PRODUCTS),
-    "user_products_all": (user_products_all, USER_PRODUCTS_ALL),
     "session_api_pivot": (session_api_pivot, SESSION_API_PIVOT),
     "circuit_breaker": (circuit_breaker, CIRCUIT_BREAKER),
     "review_rate": (review_rate, REVIEW_RATE),

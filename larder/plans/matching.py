@@ -30,28 +30,12 @@ SELECT signature, min(product_id) AS first, count(*) AS copies, min(cents) AS le
 
 
 def dedup_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For products of every fortieth id the rest of the catalogue's five best matches of the first tier that has any, as its SQL says."""
-    p = v.product(spark, sf_dir).select("product_id", "product_name", "brand", "weight")
-    new = p.where("product_id % 40 = 0")
-    old = p.where("product_id % 40 <> 0")
-    return tiered(new, old)
-
-
-DEDUP_TIERED = f"""WITH {v.PRODUCT}, n AS (SELECT * FROM v_product WHERE product_id % 40 = 0), o AS (SELECT * FROM v_product WHERE product_id % 40 <> 0),
-m AS (SELECT n.product_id AS new_id, o.product_id AS old_id, 1 AS tier FROM n JOIN o ON n.product_name = o.product_name AND n.brand = o.brand AND n.weight = o.weight
-  UNION ALL SELECT n.product_id, o.product_id, 2 FROM n JOIN o ON n.brand = o.brand AND contains(o.product_name, n.product_name)
-  UNION ALL SELECT n.product_id, o.product_id, 3 FROM n JOIN o ON n.brand = o.brand),
-f AS (SELECT *, min(tier) OVER (PARTITION BY new_id) AS least FROM m)
-SELECT new_id, old_id, tier, CASE tier WHEN 1 THEN 100 WHEN 2 THEN 80 ELSE 60 END AS confidence FROM f WHERE tier = least QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY old_id) <= 5"""
-
-
-def dedup_tiered_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every product its five best earlier matches of the first tier that has any."""
     p = v.product(spark, sf_dir).select("product_id", "product_name", "brand", "weight")
     return tiered(p, p, earlier=True)
 
 
-DEDUP_TIERED_ALL = f"""WITH {v.PRODUCT},
+DEDUP_TIERED = f"""WITH {v.PRODUCT},
 m AS (SELECT n.product_id AS new_id, o.product_id AS old_id,
   CASE WHEN n.product_name = o.product_name AND n.weight = o.weight THEN 1 WHEN contains(o.product_name, n.product_name) THEN 2 ELSE 3 END AS tier
   FROM v_product n JOIN v_product o ON n.brand = o.brand AND o.product_id < n.product_id),
@@ -80,24 +64,11 @@ SELECT new_id, old_id, tier, CASE tier WHEN 1 THEN 100 WHEN 2 THEN 80 ELSE 60 EN
 
 
 def dedup_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As dedup_conflicts_all, of every seventh offer id, as its SQL says."""
-    new = v.offer(spark, sf_dir).where("offer_id % 7 = 0")
-    return conflicts(new, v.product(spark, sf_dir))
-
-
-DEDUP_CONFLICTS = f"""WITH {v.OFFER}, {v.PRODUCT}, j AS (SELECT o.offer_id, o.product_id, abs(o.cents - p.cents) AS diff, o.brand <> p.brand AND o.brand <> '' AS b, o.weight <> p.weight AS w
-  FROM v_offer o JOIN v_product p USING (product_id) WHERE o.offer_id % 7 = 0),
-l AS (SELECT *, (diff > 10)::INT + b::INT + w::INT AS conflicts, diff > 100 AS asks FROM j)
-SELECT offer_id, product_id, conflicts, asks, CASE WHEN conflicts = 0 THEN 'none' WHEN asks THEN 'ask' ELSE 'update' END AS action,
-  concat_ws(',', CASE WHEN diff > 10 THEN 'price' END, CASE WHEN b THEN 'brand' END, CASE WHEN w THEN 'weight' END) AS kinds FROM l"""
-
-
-def dedup_conflicts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conflicts of each offer with its catalogue product, and what follows."""
     return conflicts(v.offer(spark, sf_dir), v.product(spark, sf_dir))
 
 
-DEDUP_CONFLICTS_ALL = f"""WITH {v.OFFER}, {v.PRODUCT}, j AS (SELECT o.offer_id, o.product_id, abs(o.cents - p.cents) AS diff, o.brand <> p.brand AND o.brand <> '' AS b, o.weight <> p.weight AS w
+DEDUP_CONFLICTS = f"""WITH {v.OFFER}, {v.PRODUCT}, j AS (SELECT o.offer_id, o.product_id, abs(o.cents - p.cents) AS diff, o.brand <> p.brand AND o.brand <> '' AS b, o.weight <> p.weight AS w
   FROM v_offer o JOIN v_product p USING (product_id)),
 l AS (SELECT *, (diff > 10)::INT + b::INT + w::INT AS conflicts, diff > 100 AS asks FROM j)
 SELECT offer_id, product_id, conflicts, asks, CASE WHEN conflicts = 0 THEN 'none' WHEN asks THEN 'ask' ELSE 'update' END AS action,
@@ -105,26 +76,13 @@ SELECT offer_id, product_id, conflicts, asks, CASE WHEN conflicts = 0 THEN 'none
 
 
 def pending_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As pending_conflicts_all, of every seventh offer id and without every fifth product's name and price, as its SQL says."""
-    found = conflicts(v.offer(spark, sf_dir).where("offer_id % 7 = 0"), v.product(spark, sf_dir)).where("action = 'ask'")
-    seen = v.offer(spark, sf_dir).select("offer_id", "seen_at", F.col("product_name").alias("offered"))
-    p = v.product(spark, sf_dir).where("product_id % 5 <> 0").select("product_id", "product_name", "price")
-    return found.join(seen.dropDuplicates(["offer_id"]), "offer_id").join(p, "product_id", "left").groupBy("product_id", "product_name", "price").agg(F.count("*").alias("waiting"))
-
-
-PENDING_CONFLICTS = f"""WITH {v.OFFER}, {v.PRODUCT}, j AS (SELECT o.product_id, p.product_name, p.price FROM v_offer o JOIN v_product p USING (product_id)
-  WHERE o.offer_id % 7 = 0 AND abs(o.cents - p.cents) > 100)
-SELECT product_id, CASE WHEN product_id % 5 <> 0 THEN product_name END AS product_name, CASE WHEN product_id % 5 <> 0 THEN price END AS price, count(*) AS waiting FROM j GROUP BY ALL"""
-
-
-def pending_conflicts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many conflicts of each product wait for an answer, with what the catalogue says."""
     asks = conflicts(v.offer(spark, sf_dir), v.product(spark, sf_dir)).where("action = 'ask'")
     waiting = asks.groupBy("product_id").agg(F.count("*").alias("waiting"))
     return waiting.join(v.product(spark, sf_dir), "product_id", "left").select("product_id", "product_name", "price", "waiting")
 
 
-PENDING_CONFLICTS_ALL = f"""WITH {v.OFFER}, {v.PRODUCT} SELECT product_id, p.product_name, p.price, count(*) AS waiting
+PENDING_CONFLICTS = f"""WITH {v.OFFER}, {v.PRODUCT} SELECT product_id, p.product_name, p.price, count(*) AS waiting
 FROM v_offer o JOIN v_product p USING (product_id) WHERE abs(o.cents - p.cents) > 100 GROUP BY ALL"""
 
 
@@ -262,12 +220,9 @@ SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, product_id):
 QUERIES = {
     "dedup_exact": (dedup_exact, DEDUP_EXACT),
     "dedup_tiered": (dedup_tiered, DEDUP_TIERED),
-    "dedup_tiered_all": (dedup_tiered_all, DEDUP_TIERED_ALL),
     "dedup_tiered_wide": (dedup_tiered_wide, _wide_sql()),
     "dedup_conflicts": (dedup_conflicts, DEDUP_CONFLICTS),
-    "dedup_conflicts_all": (dedup_conflicts_all, DEDUP_CONFLICTS_ALL),
     "pending_conflicts": (pending_conflicts, PENDING_CONFLICTS),
-    "pending_conflicts_all": (pending_conflicts_all, PENDING_CONFLICTS_ALL),
     "merge_fill_blanks": (merge_fill_blanks, MERGE_FILL_BLANKS),
     "price_history": (price_history, PRICE_HISTORY),
     "name_similarity": (name_similarity, NAME_SIMILARITY),

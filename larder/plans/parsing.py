@@ -204,11 +204,11 @@ LOG_SUMMARY = """SELECT role, count(*) AS turns, sum(length(coalesce(text, '')))
 
 
 def answer_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a model's answer can be a product name: length, refusals, overlap with the prompt, line breaks."""
+    """Whether a model's answer can be a product name: length, refusals, explanations, overlap with the prompt, line breaks."""
     answer = F.col("text")
     words = lambda c: F.array_distinct(F.split(F.lower(c), " "))
     refused = F.lit(False)
-    for r in fixed.REFUSALS:
+    for r in (*fixed.REFUSALS, *fixed.EXPLANATIONS):
         refused = refused | F.contains(F.lower(answer), F.lit(r))
     prompt = F.lit("list the name of the product and the brand in this picture")
     overlap = F.size(F.array_intersect(words(answer), words(prompt)))
@@ -217,7 +217,7 @@ def answer_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.read(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", ok.alias("valid"), overlap.alias("overlap"))
 
 
-_REFUSED = " OR ".join(f"contains(lower(text), '{r.replace(chr(39), chr(39) * 2)}')" for r in fixed.REFUSALS)
+_REFUSED = " OR ".join(f"contains(lower(text), '{r.replace(chr(39), chr(39) * 2)}')" for r in (*fixed.REFUSALS, *fixed.EXPLANATIONS))
 ANSWER_VALIDITY = f"""WITH w AS (SELECT *, list_distinct(string_split(lower(text), ' ')) AS ws,
   string_split('list the name of the product and the brand in this picture', ' ') AS ps FROM conversations WHERE text IS NOT NULL),
 o AS (SELECT *, len(list_filter(ws, lambda x: list_contains(ps, x)))::INT AS overlap FROM w)

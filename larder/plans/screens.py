@@ -173,21 +173,6 @@ FROM conversations WHERE role = 'assistant' AND length(text) > 5 GROUP BY conv_i
 
 
 def submit_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As submit_requests_all, of every third id against every second, as its SQL says; the priority is then always 0."""
-    r = v.registry(spark, sf_dir)
-    cached = r.where("status = 'completed' and file_id % 2 = 0").select("worker").distinct()
-    asked = r.where("file_id % 3 = 0")
-    hit = asked.join(cached, "worker", "left_semi").select("file_id", F.lit("completed").alias("state"), F.lit(0).alias("priority"))
-    miss = asked.join(cached, "worker", "left_anti").select("file_id", F.lit("queued").alias("state"), (F.col("file_id") % 3).cast("int").alias("priority"))
-    return hit.union(miss).groupBy("state", "priority").agg(F.count("*").alias("requests"), F.min("file_id").alias("first"))
-
-
-SUBMIT_REQUESTS = f"""WITH {v.REGISTRY}, c AS (SELECT DISTINCT worker FROM v_registry WHERE status = 'completed' AND file_id % 2 = 0),
-a AS (SELECT file_id, worker IN (SELECT worker FROM c) AS hit FROM v_registry WHERE file_id % 3 = 0)
-SELECT CASE WHEN hit THEN 'completed' ELSE 'queued' END AS state, CASE WHEN hit THEN 0 ELSE file_id % 3 END::INT AS priority, count(*) AS requests, min(file_id) AS first FROM a GROUP BY ALL"""
-
-
-def submit_requests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending requests: done at once where the worker completed one before, else queued; one row a state and priority.
 
     The table has no priorities, so ids give them in turn: 1 is high, 3 is low.
@@ -201,7 +186,7 @@ def submit_requests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SUBMIT_REQUESTS_ALL = f"""WITH {v.REGISTRY}, a AS (SELECT file_id, EXISTS (FROM v_registry c WHERE c.worker = r.worker AND c.status = 'completed' AND c.started_at < r.started_at) AS hit
+SUBMIT_REQUESTS = f"""WITH {v.REGISTRY}, a AS (SELECT file_id, EXISTS (FROM v_registry c WHERE c.worker = r.worker AND c.status = 'completed' AND c.started_at < r.started_at) AS hit
   FROM v_registry r WHERE status = 'pending')
 SELECT CASE WHEN hit THEN 'completed' ELSE 'queued' END AS state, (file_id % 3 + 1)::INT AS priority, count(*) AS requests, min(file_id) AS first FROM a GROUP BY ALL"""
 
@@ -289,7 +274,6 @@ QUERIES = {
     "image_quality": (image_quality, IMAGE_QUALITY),
     "longest_answer": (longest_answer, LONGEST_ANSWER),
     "submit_requests": (submit_requests, SUBMIT_REQUESTS),
-    "submit_requests_all": (submit_requests_all, SUBMIT_REQUESTS_ALL),
     "repaired_json": (repaired_json, REPAIRED_JSON),
     "extraction_rates": (extraction_rates, EXTRACTION_RATES),
     "descriptions": (descriptions, _descriptions_sql()),

@@ -37,11 +37,6 @@ FROM c QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY votes DESC, f
 
 
 def field_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As field_consensus_all, of the votes of models below 20 alone, as its SQL says."""
-    return consensus(v.vote(spark, sf_dir).where("model < 20"))
-
-
-def field_consensus_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consensus over the votes of all models."""
     return consensus(v.vote(spark, sf_dir))
 
@@ -68,12 +63,7 @@ def consensus(votes: DataFrame) -> DataFrame:
     )
 
 
-FIELD_CONSENSUS = f"""WITH {v.VOTE}, l AS (SELECT product_id, ord, weight, 100 - contamination AS quality, 'flag' AS field, value AS said FROM v_vote WHERE model < 20
-  UNION ALL SELECT product_id, ord, weight, 100 - contamination, 'line', other FROM v_vote WHERE model < 20),
-p AS (SELECT product_id, field, said, count(*) AS agree, max(weight) AS weight, max(quality) AS quality, min(ord) AS ord FROM l GROUP BY ALL)
-SELECT product_id, field, said, agree FROM p QUALIFY row_number() OVER (PARTITION BY product_id, field ORDER BY agree >= 2 DESC,
-  CASE WHEN agree >= 2 THEN weight ELSE quality END DESC, CASE WHEN agree >= 2 THEN agree ELSE weight END DESC, ord) = 1"""
-FIELD_CONSENSUS_ALL = f"""WITH {v.VOTE}, l AS (SELECT product_id, ord, weight, 100 - contamination AS quality, 'flag' AS field, value AS said FROM v_vote
+FIELD_CONSENSUS = f"""WITH {v.VOTE}, l AS (SELECT product_id, ord, weight, 100 - contamination AS quality, 'flag' AS field, value AS said FROM v_vote
   UNION ALL SELECT product_id, ord, weight, 100 - contamination, 'line', other FROM v_vote),
 p AS (SELECT product_id, field, said, count(*) AS agree, max(weight) AS weight, max(quality) AS quality, min(ord) AS ord FROM l GROUP BY ALL)
 SELECT product_id, field, said, agree FROM p QUALIFY row_number() OVER (PARTITION BY product_id, field ORDER BY agree >= 2 DESC,
@@ -226,7 +216,6 @@ SELECT product_id, 100::BIGINT AS score, false AS review, enrichment, CASE WHEN
 QUERIES = {
     "vote_majority": (vote_majority, VOTE_MAJORITY),
     "field_consensus": (field_consensus, FIELD_CONSENSUS),
-    "field_consensus_all": (field_consensus_all, FIELD_CONSENSUS_ALL),
     "unit_vote": (unit_vote, UNIT_VOTE),
     "ppu_vote": (ppu_vote, PPU_VOTE),
     "brand_normalize": (brand_normalize, BRAND_NORMALIZE),
