@@ -1,21 +1,23 @@
 """Main text of web pages by text-to-tag ratio.
 
 The page streams through the standard library's parser; its events cut the page
-into lines, one for each block of text, with the number of tags met since the
-line before. A line's text-to-tag ratio is the length of its text over its tags;
-text inside links counts as tags do, since it leads away. The ratios are
-smoothed with a Gaussian over neighbouring lines, and a threshold splits them
+into lines, one for each block of text, with the number of tags in it. A line's
+text-to-tag ratio is the length of its text over its tags; text inside links
+counts as tags do, since it leads away. The ratios are smoothed with a Gaussian over neighbouring lines, and a threshold splits them
 into content and the rest (the two-means cut of the logarithms, after Weninger,
 Hsu and Han, CETR, 2010). Lines in an element that says it is no content (nav,
-header, footer, aside, form, script ..., or a class, id or role of such a name)
-never count. Content regions are the containers that hold content lines: an
-article or main element if one has any, else all containers with a content line
-that is not mostly links; all their lines are returned, short ones too.
+footer, aside, form, script ..., a header outside articles, or a class, id or role
+that is such a name) never count; an article or main inside a part that only its
+name speaks against does, unless a name says it is a comment. Content regions are
+the containers that hold content lines: an article or main element if one has
+any, else all containers with a content line that is not mostly links. All lines
+of a region are returned, short ones too, so the ratios choose regions and not
+lines: an article's short lines and its title have low ratios of their own.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a newline in page order. Null or empty html, and pages
 without text, give an empty text. A broken or unclosed tag ends where its parent
-ends. Pages are independent: Spark only maps. Repeated rows and extra columns
+ends. Work and memory go by the page's length, however deep its elements are. Pages are independent: Spark only maps. Repeated rows and extra columns
 pass through; a column called as the output is replaced.
 """
 
@@ -52,6 +54,17 @@ NO_CONTENT_NAMES = frozenset(
     "recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar topbar widget widgets complementary".split()
 )
+#: Names of reader comments; they hold for article elements too.
+COMMENT_NAMES = frozenset("comment comments disqus replies reply respond".split())
+#: Words beside such a name that say no more than where or how it is.
+PLACES = frozenset(
+    "area bar block bottom box button buttons container content desktop fixed form group inner item items label left "
+    "link links list main middle mobile outer panel posts primary right row secondary section slot small sticky text "
+    "thread title top unit wide wrap wrapper".split()
+)
+#: Words that make a name speak of the page around it ("with-sidebar") or of the article's own head ("entry-header").
+ABOUT = frozenset("body col grid has hide is layout no not with without".split())
+OWN_HEAD = frozenset("article content entry post story".split())
 #: Parts of an element whose own start ends an open element of the same kind.
 SELF_CLOSING = {
     "p": BLOCK - {"html", "body"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
@@ -59,55 +72,109 @@ SELF_CLOSING = {
 }
 MAIN = ("article", "main")
 SPACE = re.compile(r"\s+")
-NAME = re.compile(r"[A-Za-z]+")
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+def named(value: str) -> frozenset[str]:
+    """The names of other parts of a page that a class, id or role has: whole names, not any word in one.
+
+    "cookie-notice", "siteHeader" and "sidebar-left" are such parts; "with-sidebar",
+    "category-social-science" and "entry-header" are not.
+    """
+    found = set()
+    for token in value.split():
+        words = [x.lower() for x in NAME.findall(token)]
+        if not words or ABOUT & set(words):
+            continue
+        rest = [x for x in words if x not in PLACES]
+        if rest and rest[-1] in NO_CONTENT_NAMES and not (rest[-1] == "header" and OWN_HEAD & set(words)):
+            found.add(rest[-1])
+    return frozenset(found)
+
+
+#: What an open element says of its text: content, named as no content, or no content whatever is inside.
+KEEP, NAMED, GONE = 0, 1, 2
+#: An end tag does not reach over these.
+BARRIERS = ("article", "main", "body", "table")
+BOXES = frozenset(("html", "body", "div", "section", "td", "blockquote"))
+
+
+class _Open:
+    """An open element; what it takes over from its parent is kept with it, so nothing walks up the page."""
+
+    __slots__ = ("box", "main", "number", "state", "tag")
+
+    def __init__(self, tag: str, number: int, state: int, above: _Open | None):
+        self.tag, self.number, self.state = tag, number, state
+        self.main = (tag, number) if tag in MAIN else above.main if above else None
+        self.box = (tag, number) if tag in BOXES else above.box if above else ("", 0)
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text, tags, characters in links, no content, container path]."""
+    """Lines of a page: [text, tags, characters in links, no content, container]."""
 
     CDATA_CONTENT_ELEMENTS = ("script", "style")
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, holds no content, number of the element
+        self.open: list[_Open] = []
+        self.at: dict[str, list[int]] = {}  # places of a tag's open elements
+        self.blocks: list[int] = []  # places of open blocks
         self.lines: list[list] = []
         self.text: list[str] = []
-        self.tags = self.linked = self.links = self.number = 0
+        self.tags = self.linked = self.number = 0
 
     def _end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            out = bool(self.open) and self.open[-1][1]
-            path = [(tag, n) for tag, _, n in self.open if tag in BLOCK]
-            self.lines.append([text, self.tags, self.linked, out, path])
-            self.tags = self.linked = 0
-        self.text = []
+            top = self.open[-1] if self.open else None
+            gone = top is not None and top.state != KEEP
+            # the innermost article or main, else the block's parent
+            self.lines.append([text, self.tags, self.linked, gone, (top.main or top.box) if top else ("", 0)])
+        self.text, self.tags, self.linked = [], 0, 0
+
+    def _close(self, place: int) -> None:
+        """End the element at a place, with all that is open inside it."""
+        while len(self.open) > place:
+            tag = self.open.pop().tag
+            self.at[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def _state(self, tag: str, attrs) -> int:
+        above = self.open[-1] if self.open else None
+        state = above.state if above else KEEP
+        names = frozenset().union(*(named(v) for k, v in attrs if k in ("class", "id", "role") and v))
+        if tag in MAIN:
+            # an article counts in a part that only its name speaks against, unless it is a comment
+            return GONE if names & COMMENT_NAMES else GONE if state == GONE else KEEP
+        if state == GONE or tag in ("html", "body"):
+            return state
+        hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+        if hidden or names & COMMENT_NAMES or tag in NO_CONTENT and not (tag == "header" and above and above.main and above.main[0] == "article"):
+            return GONE
+        return NAMED if names else state
 
     def handle_starttag(self, tag, attrs):
-        self.tags += 1
         if tag in BLOCK:
             self._end_line()
-            while self.open and tag in SELF_CLOSING.get(self.open[-1][0], ()):
-                self.open.pop()
-            for k in range(len(self.open) - 1, -1, -1):
-                # a block ends a paragraph that was left open, with what is open inside it
-                if self.open[k][0] == "p" and tag in SELF_CLOSING["p"]:
-                    del self.open[k:]
-                    break
-                if self.open[k][0] in BLOCK:
-                    break
+        self.tags += 1
+        if tag in BLOCK:
+            while self.open and tag in SELF_CLOSING.get(self.open[-1].tag, ()):
+                self._close(len(self.open) - 1)
+            # a block ends a paragraph that was left open, with what is open inside it
+            if self.blocks and self.open[self.blocks[-1]].tag == "p" and tag in SELF_CLOSING["p"]:
+                self._close(self.blocks[-1])
         elif tag == "br":
             self.text.append(" ")
         if tag in VOID:
             return
-        names = {x for k, v in attrs if k in ("class", "id", "role") and v for x in NAME.findall(v.lower())}
-        hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-        above = bool(self.open) and self.open[-1][1]
-        whole = tag in ("html", "body", *MAIN)
         self.number += 1
-        out = tag in NO_CONTENT or not whole and (hidden or bool(names & NO_CONTENT_NAMES))
-        self.open.append((tag, above or out, self.number))
-        self.links += tag == "a"
+        element = _Open(tag, self.number, self._state(tag, attrs), self.open[-1] if self.open else None)
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(element)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -118,19 +185,18 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self._end_line()
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self.links -= sum(x[0] == "a" for x in self.open[k:])
-                del self.open[k:]
-                break
-            if self.open[k][0] in ("article", "main", "body", "table") and tag not in ("html", "body", *MAIN):
-                break
+        places = self.at.get(tag)
+        if not places:
+            return
+        barrier = max((self.at[x][-1] for x in BARRIERS if self.at.get(x)), default=-1)
+        if tag in ("html", "body", *MAIN) or places[-1] >= barrier:
+            self._close(places[-1])
 
     def handle_data(self, data):
-        if self.open and self.open[-1][0] in ("script", "style"):
+        if self.open and self.open[-1].tag in ("script", "style"):
             return
         self.text.append(data)
-        if self.links:
+        if self.at.get("a"):
             self.linked += len(data)
 
 
@@ -156,15 +222,6 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def _container(path: list[tuple[str, int]]) -> tuple[str, int]:
-    """The element that holds the line's block: its innermost article or main, else the block's parent."""
-    for tag, n in reversed(path):
-        if tag in MAIN:
-            return tag, n
-    inner = [x for x in path if x[0] in ("html", "body", "div", "section", "td", "blockquote")]
-    return inner[-1] if inner else ("", 0)
-
-
 def main_text(html: str, sigma: float = 1.0) -> str:
     """The page's main text, blocks joined by newlines."""
     parser = _Lines()
@@ -179,11 +236,11 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     content = smoothed >= threshold(smoothed)
     found = [x for x, c in zip(lines, content) if c]
     # a menu beside the text passes by its neighbour's ratio: links alone open no region, but stay in one
-    own = [x for x in found if x[2] < 0.5 * len(x[0]) + 1]
-    regions = {_container(x[4]) for x in found}
+    own = [x for x in found if 2 * x[2] < len(x[0])]
+    regions = {x[4] for x in found}
     main = {k for k in regions if k[0] in MAIN}
-    regions = main or {_container(x[4]) for x in own} or regions
-    return "\n".join(x[0] for x in lines if _container(x[4]) in regions)
+    regions = main or {x[4] for x in own} or regions
+    return "\n".join(x[0] for x in lines if x[4] in regions)
 
 
 def extract(pages: DataFrame, *, html: str = "html", out: str = "text", sigma: float = 1.0) -> DataFrame:
