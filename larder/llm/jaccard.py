@@ -218,21 +218,19 @@ def near_duplicates(
     order = spark.sparkContext.broadcast(Order(*_frequent(documents, n, text, hot), fragments))
     whole = scratch.keep(_prefixes(documents, n, percent, text, order).withColumn("row", F.monotonically_increasing_id()))
     sets = scratch.keep(whole.drop("prefix", "bits"))
-    # a class is known by its first row; the key joins it to its text
-    classes = scratch.keep(
-        sets.where("n > 0")
-        .groupBy("set_key")
-        .agg(F.min("row").alias("c"), F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
-    )
-    rep = classes.select(F.col("c").alias("row"))
-    posts = whole.select("row", F.col("n").cast("int").alias("n"), "prefix").join(rep, "row", "left_semi")
-    posts = posts.select(F.col("row").alias("c"), "n", F.posexplode("prefix").alias("pos", "gram"))
+    # a class is known by its first row; copies combine before the shuffle, and what the class needs comes along
+    first = F.min(F.struct(F.col("row").alias("c"), "doc_id", "text_key", "n", "bits", "prefix")).alias("first")
+    reps = scratch.keep(whole.where("n > 0").groupBy("set_key").agg(first, F.min("doc_id").alias("least_id")).select("set_key", "least_id", "first.*"))
+    scratch.drop(whole)
+    classes = scratch.keep(reps.select("set_key", "c", "least_id", "n"))
+    keys = scratch.keep(reps.select("c", "doc_id", "text_key", "n", "bits"))
+    posts = reps.select("c", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "gram"))
     # an n-gram counts if it is in the short prefix of a document, and in another's prefix
     own = (100 + percent) * (F.col("n") - F.col("pos")) >= 2 * percent * F.col("n")
-    shared = posts.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max(own).alias("own")).where("lo <> hi and own")
-    posts = scratch.keep(posts.join(shared.select("gram"), "gram", "left_semi"))
-    keys = scratch.keep(whole.join(rep, "row", "left_semi").select(F.col("row").alias("c"), "doc_id", "text_key", "n", "bits"))
-    scratch.drop(whole)
+    # one number: documents in the low half, those with it in their short prefix in the high half
+    shared = posts.groupBy("gram").agg(F.sum(F.when(own, (1 << 32) + 1).otherwise(1)).alias("k")).where(f"k % {1 << 32} > 1 and k > {1 << 32}")
+    posts = scratch.keep(posts.join(shared.select("gram").hint("merge"), "gram", "left_semi"))
+    scratch.drop(reps)
 
     def may_link(a: str, b: str):
         """a is no longer than b: length filter, a's own prefix, and the position filter for a first common n-gram."""
@@ -330,7 +328,7 @@ def near_duplicates(
             )
             x, y = dealt.where("x.apart"), dealt.withColumnRenamed("x", "y")
             apart = x.join(
-                y,
+                y.hint("merge"),
                 (x["gram"] == y["gram"])
                 & (F.col("x.component") != F.col("y.component"))
                 & (~F.col("y.apart") | (F.col("x.c") < F.col("y.c")))
@@ -345,10 +343,13 @@ def near_duplicates(
             met = met.where("hub.component <> me.component").where(either("hub", "me"))
             met = met.select(F.col("me.c").alias("c"), F.col("hub.c").alias("o")).distinct()
             new = met.withColumns({"a": F.least("c", "o"), "b": F.greatest("c", "o")})
-        new = may_pass(new.join(tried, ["a", "b"], "left_anti") if tried is not None else new)
+        # kept first: so few pairs that the sets' keys need no shuffle
+        asked = scratch.keep(new.join(tried, ["a", "b"], "left_anti") if tried is not None else new)
+        new = may_pass(asked)
         if not last:
             new = new.groupBy("c").agg(F.min_by(F.struct("a", "b", "na", "nb"), F.struct("differ", "o")).alias("best")).select("best.*").distinct()
         new = scratch.keep(new.select("a", "b", "na", "nb"))
+        scratch.drop(asked)
         posts, found = marked.select("gram", "c", "n", "pos"), False
         if not new.isEmpty():
             asked = new.select("a", "b")
