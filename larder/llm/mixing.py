@@ -116,11 +116,11 @@ def mix(
 def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their own columns, in the order of the mix.
 
-    Rows of one id, source and size take the decisions of such rows in any order.
+    Rows of one id, source and size take the decisions of such rows in the order of a hash of the row.
     """
     got = mix(documents, **how)
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    id_, source = F.coalesce("doc_id", F.lit(-(1 << 63))), F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    id_, source = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
     decided = (
         got.groupBy(id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"))
         .agg(
@@ -129,7 +129,8 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
         )
         .where("each[0].copies > 0")
     )
-    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.lit(0)))
+    # by a hash of the whole row, so that reruns agree
+    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64("doc")))
     numbered = documents.select(
         F.struct(*documents.columns).alias("doc"), id_.alias("_d"), source.alias("_s"), words.alias("_z")
     ).withColumn("_n", nth)
