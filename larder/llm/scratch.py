@@ -38,10 +38,10 @@ class Scratch:
         self.tables: list[DataFrame] = []
         self.n = 0
 
-    def keep(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path, partitionBy=partition_by)
+        df.write.parquet(path, partitionBy=partition_by, compression=compression)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = path
         self.tables.append(kept)

@@ -168,7 +168,7 @@ def remove_repeats(
     scratch = Scratch(spark)
     source = F.col(f"doc.`{text}`")
     # each row gets a number that stays, so rows alike in all their columns are told apart
-    numbered = scratch.keep(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).withColumn("row", F.monotonically_increasing_id()))
+    numbered = scratch.keep(documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).withColumn("row", F.monotonically_increasing_id()), compression="zstd")
     rows = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), source.alias("text"), F.md5(F.coalesce(source, F.lit(""))).alias("text_key"))
 
     @lean
