@@ -28,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the row with the smallest doc_id stays (null last, then table order); documents without words stay."""
-    numbered = Scratch(spark).keep(docs.withColumn("_row", F.monotonically_increasing_id()))
+    numbered = Scratch(spark).keep(docs.withColumn("_row", F.monotonically_increasing_id()), compression="zstd")
     found = jaccard.near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("_row"), "n_shingles", "component_id"
     )
