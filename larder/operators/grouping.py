@@ -13,20 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first_boxes(boxes: DataFrame, screen: str = "screen", order: str = "ord", most: float = 0.5) -> DataFrame:
+def keep_first_boxes(boxes: DataFrame, screen: str = "screen", order: str = "ord", most: float = 0.5, of: str = "union") -> DataFrame:
     """Boxes of each screen, in order, without those that overlap a kept one by more than `most` of their union.
 
-    A fold over the screen's sorted boxes; stays on the JVM.
+    of: "union", or "own" for the later box's own area. A fold over the screen's
+    sorted boxes; stays on the JVM.
     """
+    if of not in ("union", "own"):
+        raise ValueError(f"of is union or own, not {of}")
     box = F.struct(order, "x", "y", "w", "h")
 
     def overlaps(kept, b):
-        def iou(k):
+        def covers(k):
             w = F.greatest(F.least(k["x"] + k["w"], b["x"] + b["w"]) - F.greatest(k["x"], b["x"]), F.lit(0))
             h = F.greatest(F.least(k["y"] + k["h"], b["y"] + b["h"]) - F.greatest(k["y"], b["y"]), F.lit(0))
-            return w * h > most * (k["w"] * k["h"] + b["w"] * b["h"] - w * h)
+            own = b["w"] * b["h"]
+            return w * h > most * (own if of == "own" else k["w"] * k["h"] + own - w * h)
 
-        return F.exists(kept, iou)
+        return F.exists(kept, covers)
 
     listed = boxes.groupBy(screen).agg(F.array_sort(F.collect_list(box)).alias("all"))
     none = F.filter("all", lambda _: F.lit(False))

@@ -148,6 +148,27 @@ def greedy_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first_boxes(v.box(spark, sf_dir), most=0.1).select("screen", "ord", "x", "y", "w", "h")
 
 
+def greedy_boxes_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A screen's boxes without those of which an earlier kept one covers more than half."""
+    return keep_first_boxes(v.box(spark, sf_dir), of="own").select("screen", "ord", "x", "y", "w", "h")
+
+
+def _greedy_sql(too_much: str) -> str:
+    """Box by box over a screen, with the kept ones so far in a list."""
+    shared = "greatest(least(k.x + k.w, b.x + b.w) - greatest(k.x, b.x), 0) * greatest(least(k.y + k.h, b.y + b.h) - greatest(k.y, b.y), 0)"
+    box = "struct_pack(ord := b.ord, x := b.x, y := b.y, w := b.w, h := b.h)"
+    return f"""WITH RECURSIVE {v.BOX}, b AS (SELECT *, row_number() OVER (PARTITION BY screen ORDER BY ord, x, y, w, h) AS place FROM v_box),
+f AS (SELECT screen, place, [{box}] AS kept FROM b WHERE place = 1 UNION ALL
+  SELECT b.screen, b.place, CASE WHEN len(list_filter(f.kept, lambda k: {too_much.format(shared=shared)})) > 0 THEN f.kept ELSE list_append(f.kept, {box}) END
+  FROM f JOIN b ON b.screen = f.screen AND b.place = f.place + 1),
+l AS (SELECT screen, unnest(arg_max(kept, place)) AS k FROM f GROUP BY screen)
+SELECT screen, k.ord AS ord, k.x AS x, k.y AS y, k.w AS w, k.h AS h FROM l"""
+
+
+GREEDY_BOXES = _greedy_sql("10 * {shared} > k.w * k.h + b.w * b.h - {shared}")
+GREEDY_BOXES_OWN = _greedy_sql("2 * {shared} > b.w * b.h")
+
+
 def fuzzy_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of a brand in groups of similar spelling."""
     p = v.grocery(spark, sf_dir).select("brand", F.concat_ws(" ", "product_name", "weight").alias("name")).distinct()
@@ -164,6 +185,7 @@ QUERIES = {
     "first_retailer": (first_retailer, FIRST_RETAILER),
     "zipped_lines": (zipped_lines, ZIPPED_LINES),
     "component_prefix": (component_prefix, COMPONENT_PREFIX),
-    "greedy_boxes": (greedy_boxes, None),
+    "greedy_boxes": (greedy_boxes, GREEDY_BOXES),
+    "greedy_boxes_own": (greedy_boxes_own, GREEDY_BOXES_OWN),
     "fuzzy_group": (fuzzy_group, None),
 }

@@ -2,11 +2,14 @@
 
 import json
 from datetime import datetime, timedelta
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import types as T
 
 from larder.operators.grouping import fuzzy_groups, keep_first_boxes
+from larder.plans import enrichment
+from larder.plans.views import grocery
 from larder.sources import files, sinks
 from larder.streaming import queue
 
@@ -61,6 +64,14 @@ def test_keep_first_boxes(spark):
     rows = [(1, 1, 0, 0, 10, 10), (1, 2, 1, 0, 10, 10), (1, 3, 20, 0, 10, 10), (1, 4, 2, 0, 10, 10), (2, 1, 0, 0, 5, 5)]
     df = spark.createDataFrame(rows, "screen int, ord int, x int, y int, w int, h int")
     assert sorted((r["screen"], r["ord"]) for r in keep_first_boxes(df).collect()) == [(1, 1), (1, 3), (2, 1)]
+    # a small box inside a large one covers little of the union, but all of its own area; half is not more than half
+    inside = [(1, 1, 0, 0, 10, 10), (1, 2, 2, 2, 3, 3), (1, 3, 5, 0, 10, 10), (2, 1, 0, 0, 3, 3), (2, 2, 0, 0, 10, 10)]
+    df = spark.createDataFrame(inside, "screen int, ord int, x int, y int, w int, h int")
+    kept = lambda **how: sorted((r["screen"], r["ord"]) for r in keep_first_boxes(df, **how).collect())
+    assert kept() == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
+    assert kept(of="own") == [(1, 1), (1, 3), (2, 1), (2, 2)]
+    with pytest.raises(ValueError):
+        keep_first_boxes(df, of="both")
 
 
 def test_fuzzy_groups(spark):
@@ -69,6 +80,22 @@ def test_fuzzy_groups(spark):
     assert sorted((r["k"], r["ord"], r["group"]) for r in got) == [(1, 1, 0), (1, 2, 0), (1, 3, 1), (1, 4, 2), (1, 5, 0), (2, 1, 0)]
 
 
+def test_fuzzy_group_query_against_plain_python(spark):
+    name, found = "/root/testdata/sf0.001", {}
+    for r in sorted(enrichment.fuzzy_group(spark, name).collect(), key=lambda r: (r["brand"] or "", r["place"])):
+        found.setdefault(r["brand"], []).append((r["name"], r["group"]))
+    p = grocery(spark, name).selectExpr("brand", "concat_ws(' ', product_name, weight) AS name").distinct().collect()
+    assert sum(map(len, found.values())) == len(p)
+    for brand, got in found.items():
+        names = sorted(r["name"] for r in p if r["brand"] == brand)
+        heads, groups = [], []
+        for low in map(str.lower, names):
+            like = [i for i, h in enumerate(heads) if SequenceMatcher(None, low, h).ratio() > 0.9]
+            groups.append(like[0] if like else len(heads))
+            heads += [] if like else [low]
+        assert got == list(zip(names, groups))
+
+
 def test_drain_keeps_the_last_write(spark, tmp_path):
     schema = T.StructType.fromDDL("file string, status string, ts long")
     src = tmp_path / "in"
