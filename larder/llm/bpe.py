@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from larder.llm.text import lean, portions, small_batches
 
 #: Cached pieces of a task; a full cache is emptied.
-MOST_PIECES = 300_000
+MOST_PIECES = 150_000
 #: Cells of one padded matrix, unless one piece is longer.
 MOST_CELLS = 1 << 20
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.scratch import Scratch
+from larder.llm.text import lean
 
 #: Links that one task contracts.
 LOCAL = 200_000
@@ -37,6 +38,7 @@ class Forest:
         return a != b
 
 
+@lean
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of one partition -> a link from each of their nodes to the smallest node it reaches there."""
     forest = Forest()

@@ -67,7 +67,7 @@ BITS = 512
 #: Rows of three numbers that are broadcast to find their texts; with more, texts are shuffled.
 SENT = 100_000
 #: n-grams that a task counts at a time.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 
 
 def _frequent(documents: DataFrame, n: int, text: str, hot: int) -> tuple[np.ndarray, np.ndarray]:

@@ -46,7 +46,7 @@ class _Buckets(dict):
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest as h
 
-        if len(self) > 250_000:
+        if len(self) > 100_000:
             self.clear()
         shape = _RUN.sub(rb"\1", word.translate(_SHAPE))[:24]
         self[word] = got = (h(word.lower()) % WORDS) * TERMS + WORDS + h(shape) % SHAPES
@@ -111,8 +111,8 @@ class Model:
             return np.full(len(bags), 0.5)
         k = min(self.neighbours, len(self.labels))
         out = np.empty(len(bags))
-        for start in range(0, len(bags), 512):
-            near = self.project(bags[start : start + 512]) @ self.vectors.T
+        for start in range(0, len(bags), 128):
+            near = self.project(bags[start : start + 128]) @ self.vectors.T
             top = np.argpartition(-near, k - 1, axis=1)[:, :k]
             w = np.maximum(np.take_along_axis(near, top, axis=1), 1e-6).astype(np.float64) ** self.power * self.votes[top]
             out[start : start + len(near)] = (w * self.labels[top]).sum(axis=1) / w.sum(axis=1)

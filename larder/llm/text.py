@@ -61,7 +61,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
 class WordHashes(dict):
     """Word -> 64-bit hash, filled on demand and emptied before it outgrows a task."""
 
-    MOST = 250_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         self[word] = got = xxh3_64_intdigest(word)
