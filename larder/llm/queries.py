@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm import bpe, chat, html, jaccard, lattice, mixing, pq, quality, substrings, topk
+from larder.llm import bpe, chat, divergence, html, infill, jaccard, lattice, mixing, pq, quality, substrings, subwords, topk
 
 #: Vocabularies; a parameter of the operators.
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -84,12 +85,34 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.transform(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restore(), 256).alias("restored_sha256"),
+    )
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = subwords.Model(spark, public_tokenizers.path(PIECE_MODEL))
+    got = subwords.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded="decoded")
+    return got.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_mix_sources, op2_byte_bpe, op3_top_k, op4_lattice_score, op5_chat_windows, op6_jaccard_join,
             op7_substring_dedup, op8_embedding_dedup, op9_quality, op10_main_text,
+            op11_fill_in_middle, op12_sentencepiece, op13_source_divergence,
         )
     }
 
@@ -160,6 +183,38 @@ SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id FROM s JOIN m ON
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, len(u)::BIGINT AS n, [('0x' || x[8 * k + 1 : 8 * k + 8])::BIGINT FOR k IN range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+                  WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 :], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN len(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM s
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT lang, source FROM d GROUP BY ALL),
+t AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30),
+k AS (SELECT x.lang, x.source, x.term, count(*) AS c FROM (SELECT lang, source, unnest(w) AS term FROM d) x JOIN t ON x.lang = t.lang AND x.term = t.term GROUP BY ALL),
+f AS (SELECT g.lang, g.source, t.term, coalesce(k.c, 0)::HUGEINT AS c FROM g JOIN t ON g.lang = t.lang
+      LEFT JOIN k ON k.lang = g.lang AND k.source = g.source AND k.term = t.term),
+n AS (SELECT *, sum(c) OVER w AS n, count(*) OVER w AS v FROM f WINDOW w AS (PARTITION BY lang, source)),
+p AS (SELECT *, 1 + (1000000000 * (c + 5)) // (n + 5 * v) AS p FROM n),
+l AS (SELECT lang, term, 1 + (1000000000 * (sum(c) + 5)) // (sum(sum(c)) OVER w + 5 * count(*) OVER w) AS q FROM f GROUP BY lang, term WINDOW w AS (PARTITION BY lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT p.lang, source, 'term', p.term, (p - q)::BIGINT FROM p JOIN l ON p.lang = l.lang AND p.term = l.term WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM o QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators learn, encode or parse, which SQL cannot say; tests/llm has them against brute force."""
-    return {"op1_mix_sources": OP1, "op3_top_k": OP3, "op6_jaccard_join": OP6, "op7_substring_dedup": OP7, "op8_embedding_dedup": OP8}
+    return {"op1_mix_sources": OP1, "op3_top_k": OP3, "op6_jaccard_join": OP6, "op7_substring_dedup": OP7, "op8_embedding_dedup": OP8, "op11_fill_in_middle": OP11, "op13_source_divergence": OP13}
