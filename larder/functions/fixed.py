@@ -143,3 +143,10 @@ SHORT_REFUSALS = ("can't", "cannot", "error", "http", "timeout")
 EXPLANATIONS = ("**", "- **", "extraction rules", "to extract", "follow these steps", "brand prefix", "quantity information", "ignore price")
 QUALITY_BRANDS = ("Dr. Oetker", "Mondamin", "Aurora", "Barebells", "BE-KIND", "Edeka", "Rewe", "Knorr", "Maggi", "Alnatura")
 QUALITY_UNITS = ("g", "kg", "ml", "l", "stk", "/kg", "/stk", "pack")
+# product pages: ladders of selectors, the first that has an element counts
+PAGE_TITLE = ("h1", ".product-title", '[data-testid="product-name"]', ".pdp-product-name", ".product-name")
+PAGE_PRICE = (".price", ".product-price", '[data-testid="price"]', ".current-price", ".price-current")
+PAGE_INGREDIENTS = ('[data-testid="ingredients"]', ".ingredients", ".product-ingredients", ".ingredient-list")
+PAGE_INGREDIENT_WORDS = ("zutaten", "ingredients", "inhaltsstoffe")
+PAGE_NUTRITION = ("nutrition", "nährwert", "energy", "calories", "protein", "fat", "carbs")
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
