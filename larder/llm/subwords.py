@@ -9,8 +9,8 @@ first. So a text costs its length times the pieces that end at a place, however
 long it is.
 
 Spark only maps: no shuffle, one pass over the texts. Texts are cut where no
-piece reaches across (before white space), and a task remembers the ids of cut
-parts in a cache that is emptied when full.
+piece reaches across (before white space, and before signs behind letters), and a
+worker remembers the ids of parts in a cache that is emptied when full.
 
 Null and empty texts give no ids. Repeated rows and extra columns pass through. A
 column called as an output is replaced.
@@ -21,7 +21,8 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ SPACE = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Remembered parts of texts and pairs of tokens of a worker.
-MOST_PARTS = 120_000
+MOST_PARTS = 300_000
 MOST_PAIRS = 300_000
 #: Longer parts are encoded anew each time.
 LONGEST_PART = 64
@@ -108,14 +109,36 @@ def merged(symbols: list[str], ranks: dict[str, float]) -> list[tuple]:
     return trees
 
 
+def _parts_pattern(pieces: Iterable[str]) -> str:
+    """A pattern for parts of a text between which no piece reaches.
+
+    Parts begin with white space, with an unknown line break or tab, or with a
+    sign behind another character, where no piece holds such a sign there.
+    """
+    pieces = list(pieces)
+    pairs = {x for p in pieces for x in zip(p, p[1:])}
+    known = {c for p in pieces for c in p}
+    group = lambda chars: re.escape("".join(sorted(chars)))
+    alone = group({"\n", "\r", "\t"} - known)
+    ways = [f"[{alone}]+"] if alone else []
+    if any(b == SPACE != a for a, b in pairs):
+        return "|".join([*ways, f"[^{alone}]+" if alone else r"(?s:.)+"])
+    letters = {c for c in known if c.isalpha()}
+    signs = {c for c in known if not c.isalnum() and c != SPACE} - {b for a, b in pairs if a in letters}
+    word, other = f"[{group(letters)}]", f"[^{group(letters)}{SPACE}{alone}]"
+    # on from a letter through letters and what may stand behind one, and no further than a sign
+    on = rf"(?:{word}++(?:[^{group(letters | signs)}{SPACE}{alone}]{other}*+)?+)*+"
+    return "|".join([*ways, rf"(?!\Z){SPACE}*+{other}*+{on}"])
+
+
 class _Parts(dict):
-    """Part -> its ids as little-endian 32-bit integers, filled on demand."""
+    """Part -> its ids as 32-bit integers, filled on demand."""
 
     def __init__(self, encode: Callable[[str], list[int]]):
         self.encode = encode
 
     def __missing__(self, part: str) -> bytes:
-        got = np.array(self.encode(part), "<i4").tobytes()
+        got = array("i", self.encode(part)).tobytes()
         if len(part) <= LONGEST_PART:
             self[part] = got
         return got
@@ -133,6 +156,7 @@ class Codec:
         self.n = len(pieces)
         self.rank = [ranks.get(p, NEVER) if len(p) > 1 else FIRST for p, _, _ in pieces]
         self.left, self.right = [-1] * self.n, [-1] * self.n
+        self.sizes = [len(p) for p, _, _ in pieces]
         self.joined: dict[int, float] = {}
         self.pairs: dict[int, bool] = {}
         self.parts = _Parts(self.part)
@@ -149,13 +173,9 @@ class Codec:
                 self.left[k], self.right[k] = (self.ids[t[0]] for t in trees[0][1:])
                 if max(self.rank[self.left[k]], self.rank[self.right[k]]) > self.rank[k]:
                     raise ValueError(f"{piece!r} is made of pieces that merge after it")
-            self.automaton.add_word(piece, (k, len(piece)))
+            self.automaton.add_word(piece, k)
         self.automaton.make_automaton()
-        letters = set("".join(self.ids))
-        alone = re.escape("".join(c for c in "\n\r\t" if c not in letters))
-        across = any(b == SPACE != a for p in self.ids for a, b in zip(p, p[1:]))
-        # no piece holds white space behind anything else: parts begin with it
-        self.cut = re.compile(rf"[{alone}]+|[^{alone}]+" if across else rf"[{alone}]+|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+")
+        self.cut = re.compile(_parts_pattern(self.ids))
         self.raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else p.replace(SPACE, " ").encode() for p, _, kind in pieces]
         self.control = {k for k, (_, _, kind) in enumerate(pieces) if kind == CONTROL}
         self.spaced = {k for p, k in self.ids.items() if p.startswith(SPACE)}
@@ -167,7 +187,8 @@ class Codec:
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self._apart(a, b)
+            # an unknown character (-1) or the start is compatible with everything
+            known = self.pairs[key] = a < 0 or self._apart(a, b)
         return known
 
     def _apart(self, a: int, b: int) -> bool:
@@ -190,25 +211,29 @@ class Codec:
         whole = self.ids.get(text)
         if whole is not None and (len(text) == 1 or self.left[whole] >= 0):
             return [whole]
-        last, size = [-1] * (len(text) + 1), [1] * (len(text) + 1)
-        for end, (piece, n) in self.automaton.iter(text):
-            end += 1
-            if last[end] < 0:
-                before = last[end - n]
-                # an unknown character (-1) or the start is compatible with everything
-                if before < 0 or self.compatible(before, piece):
-                    last[end], size[end] = piece, n
-        ids, end = [], len(text)
-        while end:
+        # last[k]: the last token of the prefix that ends with character k; last[-1] is the start's
+        last = [-1] * (len(text) + 1)
+        sizes, pairs, n = self.sizes, self.pairs, self.n
+        for end, piece in self.automaton.iter(text):
             if last[end] < 0:
-                ids.extend(self.byte[x] for x in reversed(text[end - 1].encode()))
+                before = last[end - sizes[piece]]
+                fits = pairs.get(before * n + piece)
+                if self.compatible(before, piece) if fits is None else fits:
+                    last[end] = piece
+        ids, end = [], len(text) - 1
+        while end >= 0:
+            piece = last[end]
+            if piece < 0:
+                ids.extend(self.byte[x] for x in reversed(text[end].encode()))
+                end -= 1
             else:
-                ids.append(last[end])
-            end -= size[end]
-        return ids[::-1]
+                ids.append(piece)
+                end -= sizes[piece]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
+        """Ids as 32-bit integers."""
         if not text:
             return b""
         if len(self.parts) > MOST_PARTS:
@@ -269,12 +294,11 @@ def encode(df: DataFrame, model: Model, text: str = "text", ids: str = "ids", de
     def run(batches):
         codec = model.codec()
         for batch in portions(batches, text):
-            got = [np.frombuffer(codec.encode(x or ""), "<i4") for x in batch.column(text).to_pylist()]
+            got = [np.frombuffer(codec.encode(x or ""), np.int32) for x in batch.column(text).to_pylist()]
             offsets = np.zeros(len(got) + 1, np.int32)
             np.cumsum([len(x) for x in got], out=offsets[1:])
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got)))
             yield (batch, lists, pa.array(map(codec.decode, got), pa.string())) if decoded else (batch, lists)
-        codec.parts.clear()
 
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
     return _added(df, fields + [T.StructField(decoded, T.StringType())] if decoded else fields, run)
