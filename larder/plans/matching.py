@@ -9,6 +9,7 @@ from larder.functions import fixed
 from larder.functions import text as t
 from larder.plans import views as v
 from larder.operators.matching import conflicts, tiered, tiered_wide
+from larder.operators.similar import near_names
 
 
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +139,17 @@ s AS (SELECT *, floor((1 - levenshtein(a, b)::DOUBLE / greatest(length(a), lengt
 w AS (SELECT *, CASE WHEN common = 0 THEN 50 ELSE floor(100.0 * common / (len(wa) + len(wb) - common))::INT END AS words FROM s)
 SELECT brand, a, b, similarity, words FROM w WHERE similarity >= 60 OR words >= 51"""
 
+
+def name_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a brand's distinct names that may be one name's variations: edit distance of at most a fifth of the longer."""
+    names = v.product(spark, sf_dir).where("product_name is not null").select("brand", F.lower("product_name").alias("name")).distinct()
+    return near_names(names, "brand", "name", 0.8).select("brand", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.floor(F.col("similarity") * 1000).alias("permille"))
+
+
+NAME_VARIATION = f"""WITH {v.PRODUCT}, n AS (SELECT DISTINCT brand, lower(product_name) AS name FROM v_product),
+p AS (SELECT x.brand, x.name AS a, y.name AS b, 1 - levenshtein(x.name, y.name)::DOUBLE / greatest(length(x.name), length(y.name)) AS s FROM n x JOIN n y ON x.brand = y.brand AND x.name < y.name)
+SELECT brand, a, b, floor(s * 1000)::BIGINT AS permille FROM p WHERE s >= 0.8"""
+
 #: main category, subcategory, pattern; (?<!w) stands for a word's border in either engine
 RULES = (
     ("Aufschnitt & Brotaufstriche", "Nuss- & Schokoaufstriche", "(nutella|nuss|haselnuss|erdnuss|mandel).*(aufstrich|creme)"),
@@ -226,6 +238,7 @@ QUERIES = {
     "merge_fill_blanks": (merge_fill_blanks, MERGE_FILL_BLANKS),
     "price_history": (price_history, PRICE_HISTORY),
     "name_similarity": (name_similarity, NAME_SIMILARITY),
+    "name_variation": (name_variation, NAME_VARIATION),
     "category_rules": (category_rules, _rules_sql()),
     "category_database": (category_database, _category_database_sql()),
     "food_matches": (food_matches, FOOD_MATCHES),
