@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions import text as t
+from larder.operators.keeping import kept
 
 
 def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False) -> DataFrame:
@@ -13,8 +19,8 @@ def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False)
 
     Tier 1: equal name, brand and weight. Tier 2: the brand's names that contain
     the name. Tier 3: the brand. Each tier looks only at products that the tier
-    before left over, and all tiers are equi joins; the brand's candidates are
-    cut to the first `most` before the join where any will do. With `earlier`,
+    before left over; candidates are cut to the first `most` before they meet
+    products. With `earlier`,
     only smaller ids than the product's own match; the first `most` are still
     the smallest of those.
     """
@@ -25,12 +31,9 @@ def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False)
     same = o.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= most)
     first = n.join(same, ["product_name", "brand", "weight"]).where(before).select("new_id", "old_id")
     left = n.join(first.select("new_id").distinct(), "new_id", "left_anti")
-    # a brand has few names, so names meet before products do
-    names = o.select("brand", F.col("product_name").alias("old_name")).distinct()
-    like = left.join(names, "brand").where(F.contains("old_name", "product_name")).select("new_id", "brand", "old_name")
-    by_name = Window.partitionBy("brand", "product_name").orderBy("old_id")
-    few = o.withColumn("_r", F.row_number().over(by_name)).where(F.col("_r") <= most)
-    second = like.join(few.select("brand", F.col("product_name").alias("old_name"), "old_id"), ["brand", "old_name"]).where(before).select("new_id", "old_id")
+    names = o.select(F.col("brand").alias("key"), F.col("product_name").alias("text"), "old_id")
+    found = containing(left.select(F.col("brand").alias("key"), F.col("product_name").alias("needle")), names, most)
+    second = left.join(found, (F.col("brand") == F.col("key")) & (F.col("product_name") == F.col("needle"))).where(before).select("new_id", "old_id")
     left = left.join(second.select("new_id").distinct(), "new_id", "left_anti")
     by_brand = Window.partitionBy("brand").orderBy("old_id")
     any_ = o.withColumn("_r", F.row_number().over(by_brand)).where(F.col("_r") <= most)
@@ -41,34 +44,65 @@ def tiered(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False)
     return all_.withColumn("_p", place).where(F.col("_p") <= most).drop("_p")
 
 
-def _pieces(text):
-    """The distinct pieces of one to three characters."""
-    at = F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1)))
-    cut = lambda k: F.transform(at, lambda i: text.substr(i, F.lit(k)))
-    return F.array_distinct(F.concat(cut(1), cut(2), cut(3)))
-
+def _first_holders(needles: list[tuple], most: int):
+    """A mapInArrow function: (key, needle, old_id) with the `most` first ids of the texts, (key, text, ids), that hold each needle.
 
-def containing(needles: DataFrame, texts: DataFrame, most: int) -> DataFrame:
-    """(needle, old_id): for each needle the `most` first ids of (old_id, text) whose text contains it.
+    An automaton of all needles reads each text once. What a task keeps, and hands
+    on when it has read all, is bounded by the needles.
+    """
 
-    Distinct texts meet a needle by the needle's rarest piece of three characters
-    (all of a shorter one), so no pair that contains it is lost and the join is an
-    equi join. An empty needle is in every text.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        places: dict[str, dict] = {}
+        for i, (key, needle) in enumerate(needles):
+            places.setdefault(needle, {})[key] = i
+        for needle, of in places.items():
+            automaton.add_word(needle, of)
+        automaton.make_automaton()
+        first: dict[int, list] = {}
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field("ids").type.value_type
+            for key, text, ids in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), batch.column("ids").to_pylist()):
+                for i in {of[key] for _, of in automaton.iter(text) if key in of}:
+                    first[i] = sorted({*first.get(i, ()), *ids})[:most]
+        held = list(first.items())
+        for k in range(0, len(held), 10_000):
+            rows = [(*needles[i], x) for i, ids in held[k : k + 10_000] for x in ids]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), kind))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "needle", "old_id"])
+
+    return run
+
+
+def containing(needles: DataFrame, texts: DataFrame, most: int, shard: int = 1 << 20) -> DataFrame:
+    """(key, needle, old_id): for each (key, needle) the `most` first ids of (key, text, old_id) of that key whose text contains it.
+
+    Distinct needles go in shards of about `shard` characters, by which the
+    driver's list and each task's automaton are bounded; each distinct text passes
+    once through each shard's automaton. However many texts hold a needle, a task
+    hands on `most` ids of it. An empty needle is in every text; nulls are nowhere.
     """
-    by_text = Window.partitionBy("text").orderBy("old_id")
-    few = texts.where("text is not null").distinct().withColumn("_r", F.row_number().over(by_text)).where(F.col("_r") <= most).drop("_r")
-    posts = few.select("text").distinct().select("text", F.explode(_pieces(F.col("text"))).alias("piece"))
-    needles = needles.select("needle").distinct()
-    asked = needles.where("needle <> ''").select("needle", F.explode(_pieces(F.col("needle"))).alias("piece"))
-    asked = asked.where(F.char_length("piece") == F.least(F.lit(3), F.char_length("needle")))
-    counts = posts.groupBy("piece").agg(F.count("*").alias("n"))
-    rarest = asked.join(counts, "piece").groupBy("needle").agg(F.min(F.struct("n", "piece")).alias("p")).select("needle", F.col("p.piece").alias("piece"))
-    pairs = rarest.join(posts, "piece").where(F.contains("text", "needle")).select("needle", "text")
-    found = pairs.join(few, "text").select("needle", "old_id")
-    any_ = few.select("old_id").distinct().orderBy("old_id").limit(most)
-    found = found.union(needles.where("needle = ''").crossJoin(any_)).distinct()
-    place = F.row_number().over(Window.partitionBy("needle").orderBy("old_id"))
-    return found.withColumn("_p", place).where(F.col("_p") <= most).drop("_p")
+    text = texts.select("key", "text", "old_id").where("key is not null and text is not null").distinct()
+    by_text = Window.partitionBy("key", "text").orderBy("old_id")
+    few = text.withColumn("_r", F.row_number().over(by_text)).where(F.col("_r") <= most)
+    listed = few.groupBy("key", "text").agg(F.sort_array(F.collect_list("old_id")).alias("ids"))
+    needles = kept(needles.select("key", "needle").where("key is not null and needle is not null").distinct())
+    size = needles.agg(F.sum(F.char_length("needle"))).first()[0] or 0
+    shards = -(-size // shard)
+    if shards > 1:
+        listed = kept(listed)
+    asked = needles.where("needle <> ''").withColumn("_shard", F.pmod(F.xxhash64("needle"), F.lit(max(1, shards))))
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("needle", T.StringType()), texts.schema["old_id"]])
+    # of an empty needle, the first ids of its key
+    by_key = Window.partitionBy("key").orderBy("old_id")
+    found = text.select("key", "old_id").distinct().withColumn("_r", F.row_number().over(by_key)).where(F.col("_r") <= most).join(needles.where("needle = ''"), "key").select("key", "needle", "old_id")
+    for k in range(shards):
+        some = [tuple(r) for r in asked.where(F.col("_shard") == k).select("key", "needle").collect()]
+        if some:
+            found = found.union(listed.mapInArrow(_first_holders(some, most), schema))
+    place = F.row_number().over(Window.partitionBy("key", "needle").orderBy("old_id"))
+    return found.distinct().withColumn("_p", place).where(F.col("_p") <= most).drop("_p")
 
 
 def tiered_wide(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = False) -> DataFrame:
@@ -87,11 +121,12 @@ def tiered_wide(new: DataFrame, old: DataFrame, most: int = 5, earlier: bool = F
     same = o.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= most).select("signature", "old_id")
     first = n.join(same, "signature").where(before).select("new_id", "old_id")
     left = n.join(first.select("new_id").distinct(), "new_id", "left_anti")
-    names = o.select("old_id", F.explode(F.array(F.lower("product_name"), t.name_builder(F.col("product_name")))).alias("text"))
-    second = left.join(containing(left.select(F.col("name").alias("needle")), names, most), F.col("name") == F.col("needle")).where(before).select("new_id", "old_id")
+    all_ = F.lit("").alias("key")
+    names = o.select(all_, "old_id", F.explode(F.array(F.lower("product_name"), t.name_builder(F.col("product_name")))).alias("text"))
+    second = left.join(containing(left.select(all_, F.col("name").alias("needle")), names, most), F.col("name") == F.col("needle")).where(before).select("new_id", "old_id")
     left = left.join(second.select("new_id").distinct(), "new_id", "left_anti").where("brand <> ''")
-    brands = o.select("old_id", F.col("brand").alias("text"))
-    third = left.join(containing(left.select(F.col("brand").alias("needle")), brands, most), F.col("brand") == F.col("needle")).where(before).select("new_id", "old_id")
+    brands = o.select(all_, "old_id", F.col("brand").alias("text"))
+    third = left.join(containing(left.select(all_, F.col("brand").alias("needle")), brands, most), F.col("brand") == F.col("needle")).where(before).select("new_id", "old_id")
     tagged = [x.withColumns({"tier": F.lit(k), "confidence": F.lit(c)}) for x, k, c in ((first, 1, 100), (second, 2, 80), (third, 3, 60))]
     return tagged[0].union(tagged[1]).union(tagged[2])
 

@@ -11,22 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from larder.sources.files import exists
-from larder.sources.sinks import latest
+from larder.sources.buckets import upsert_batch
 
 
-def drain(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: list[str], order: str, files: int = 100):
-    """Take in all files that wait, and keep the last write of each key (by `order`) in a Parquet table.
+def drain(
+    spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: list[str], order: str, files: int = 100, buckets: int = 64
+):
+    """Take in all files that wait, and keep the last write of each key (by `order`) in a bucketed table.
 
     The checkpoint replaces the queue's claims: a file is in one micro-batch, and a
-    failed batch is done again. Each batch writes a new version beside the old
-    one, named by its id, so a reader and a repeated batch see whole tables.
+    failed batch is done again, which leaves the same table. A batch reads and
+    writes only the buckets of its keys; buckets.current() reads the table.
     """
 
     def take(batch: DataFrame, number: int) -> None:
-        old = f"{table}/v{number - 1}"
-        rows = batch.unionByName(spark.read.schema(schema).parquet(old)) if number and exists(spark, old) else batch
-        latest(rows, key, order).write.mode("overwrite").parquet(f"{table}/v{number}")
+        upsert_batch(table, batch, number, key, order, schema, buckets)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(source)
     return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
