@@ -150,3 +150,6 @@ PAGE_INGREDIENTS = ('[data-testid="ingredients"]', ".ingredients", ".product-ing
 PAGE_INGREDIENT_WORDS = ("zutaten", "ingredients", "inhaltsstoffe")
 PAGE_NUTRITION = ("nutrition", "nährwert", "energy", "calories", "protein", "fat", "carbs")
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+# breaks of screens: expected places as shares of the height, how far off, and what counts as a jump
+HEADER_AT, FOOTER_AT, BREAK_TOLERANCE, BREAK_PERCENTILE = 0.1903, 0.9113, 0.03, 0.95
+EDGE_DEVIATIONS, HEADER_MARGIN, FOOTER_LIMIT = 2.0, 0.05, 0.95
