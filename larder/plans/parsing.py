@@ -109,21 +109,31 @@ HTML_TEXT = r"""SELECT page_id, substring(trim(regexp_replace(regexp_replace(reg
   '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), 1, 3000) AS text,
   trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '(?s)<[^>]+>', '', 'g')) AS title, substring(md5(url), 1, 16) AS url_key FROM pages"""
 
-_SNIPPET = "<img alt='x' src='{a}'><p>{n}</p><IMG src=\"{b}\"><img src='/icons/logo.png'>"
+#: Snippets of listings; {id} stands for the product's id.
+SNIPPETS = (
+    "<img alt='x' src='/p/{id}.jpg'><p>x</p><IMG src=\"//cdn.example.net/{id}.png\"><img src='/icons/logo.png'>",
+    "<a href='/q.png'><img width=3 src=\"https://img.example.org/{id}.webp\" alt=''></a><img src='rel/{id}.gif'><img data-x='1'>",
+    "<p>{id}</p><image src='/q.png'><img\nsrc='/a/{id}1.jpg'><img src='/a/{id}2.jpg'><img src='/a/{id}3.jpg'><img src='/a/ICON.jpg'><img src='/a/{id}4.jpg'><img src='/a/{id}5.jpg'><img src='/a/{id}6.jpg'>",
+)
 
 
 def html_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image URLs of snippets built around product ids."""
-    html = F.concat(
-        F.lit("<img alt='x' src='/p/"), F.col("product_id").cast("string"), F.lit(".jpg'><p>x</p><IMG src=\"//cdn.example.net/"),
-        F.col("product_id").cast("string"), F.lit(".png\"><img src='/icons/logo.png'>"),
-    )
+    """Image URLs of listings' snippets, one of three a product."""
+    snippet = F.element_at(F.array(*map(F.lit, SNIPPETS)), (F.col("product_id") % len(SNIPPETS) + 1).cast("int"))
+    html = F.replace(snippet, F.lit("{id}"), F.col("product_id").cast("string"))
     urls = t.html_images(html, F.lit("https://shop.example.com/list?x=1"))
     return v.product(spark, sf_dir).select("product_id", F.array_join(urls, " ").alias("urls"), F.size(urls).alias("n"))
 
 
-HTML_IMAGES = f"""WITH {v.PRODUCT} SELECT product_id, 'https://shop.example.com/p/' || product_id || '.jpg https://cdn.example.net/' || product_id || '.png' AS urls,
-  2::INT AS n FROM v_product"""
+_SNIPPETS = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in SNIPPETS) + "]"
+_SKIPPED = " OR ".join(f"contains(lower(u), '{w}')" for w in fixed.IMAGE_SKIP_WORDS)
+HTML_IMAGES = rf"""WITH {v.PRODUCT}, h AS (SELECT product_id, replace({_SNIPPETS}[(product_id % {len(SNIPPETS)} + 1)::INT], '{{id}}', product_id::VARCHAR) AS html FROM v_product),
+-- tags by their brackets, then the src among a tag's words
+g AS (SELECT product_id, list_transform(list_filter(string_split(html, '<'), lambda x: lower(x[1:3]) = 'img' AND regexp_matches(x[4], '[^>]')), lambda x: split_part(x, '>', 1)) AS tags FROM h),
+s AS (SELECT product_id, list_filter(list_transform(tags, lambda x: regexp_extract(x, '[\s]src=.([^''"]+).', 1)), lambda u: u <> '') AS found FROM g),
+u AS (SELECT product_id, list_filter(list_transform(found, lambda u: CASE WHEN u[1:2] = '//' THEN 'https:' || u WHEN u[1] = '/' THEN 'https://shop.example.com' || u ELSE u END),
+  lambda u: starts_with(u, 'http') AND NOT ({_SKIPPED}))[:5] AS urls FROM s)
+SELECT product_id, array_to_string(urls, ' ') AS urls, len(urls)::INT AS n FROM u"""
 
 
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

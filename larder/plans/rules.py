@@ -244,7 +244,8 @@ def field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("product_id", F.explode(each).alias("q")).select("product_id", "q.field", "q.tenths")
 
 
-def _field_quality_sql() -> str:
+def _tenths_sql(field: str) -> str:
+    """SQL for the quality of x, a trimmed value of a field."""
     has = lambda *words: "(" + " OR ".join(f"contains(lower(x), '{w}')" for w in words) + ")"
     plus = lambda c, k: f"CASE WHEN {c} THEN {k} ELSE 0 END"
     digit = r"regexp_matches(x, '\p{Nd}')"
@@ -256,15 +257,81 @@ def _field_quality_sql() -> str:
         "unit": [plus(f"lower(x) IN ({', '.join(f"'{u}'" for u in fixed.QUALITY_UNITS)})", 20)],
         "price_per_kg": [plus(has("€"), 20), plus(digit, 10), plus(has("/", "per"), 10)],
     }
+    return f"CASE WHEN x = '' THEN 0 ELSE greatest(1, 10 + {' + '.join(more[field])} - {plus('length(x) < 2', 10)}) END::INT"
+
+
+def _field_quality_sql() -> str:
     value = lambda f: "CASE WHEN unit = 'Stk' THEN '' ELSE price || '/' || unit END" if f == "price_per_kg" else f
-    one = [
-        f"SELECT product_id, '{f}' AS field, CASE WHEN x = '' THEN 0 ELSE greatest(1, 10 + {' + '.join(more[f])} - {plus('length(x) < 2', 10)}) END::INT AS tenths "
-        f"FROM (SELECT product_id, trim({value(f)}) AS x FROM v_grocery)"
-        for f in QUALITY_FIELDS
-    ]
+    one = [f"SELECT product_id, '{f}' AS field, {_tenths_sql(f)} AS tenths FROM (SELECT product_id, trim({value(f)}) AS x FROM v_grocery)" for f in QUALITY_FIELDS]
     return f"WITH {v.GROCERY_SQL} {' UNION ALL '.join(one)}"
 
 
+def select_fields(said: DataFrame, key: str) -> DataFrame:
+    """(key, field, value, agree, quality): the value of each field that models' answers come to.
+
+    said: (key, field, value, ord, weight, contamination). The first value that two
+    answers share wins; else the one of best quality, then of the heaviest model,
+    then the first. Quality is the field's own, in thousandths, less the answer's
+    contamination in percent. Blank values are no answers. Values are counted, and
+    the best answer of each kept, before a key's values meet.
+    """
+    rows = said.withColumn("value", t.strip(F.col("value"))).where("value <> ''")
+    own = F.lit(0)
+    for f in QUALITY_FIELDS:
+        own = F.when(F.col("field") == f, quality_tenths(f, F.col("value"))).otherwise(own)
+    rows = rows.withColumn("quality", own * (100 - F.col("contamination")))
+    best = F.max(F.struct("quality", "weight", (-F.col("ord")).alias("o"), "value"))
+    per = rows.groupBy(key, "field", "value").agg(F.count("*").alias("agree"), F.min("ord").alias("first"), best.alias("best"))
+    shared = F.min(F.when(F.col("agree") >= 2, F.struct("first", "value", "agree", F.col("best.quality").alias("quality"))))
+    alone = F.max(F.struct("best", "agree"))
+    found = per.groupBy(key, "field").agg(shared.alias("s"), alone.alias("a"))
+    return found.select(
+        key, "field", F.coalesce("s.value", "a.best.value").alias("value"), F.coalesce("s.agree", "a.agree").alias("agree"), F.coalesce("s.quality", "a.best.quality").alias("quality"),
+    )
+
+
+SAID_FIELDS = ("price", "brand", "weight", "unit")
+
+
+def field_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of each product as the answers on one screen (an order) come to; suppliers are the models, and spell in four ways."""
+    lines, parts = v.read(spark, sf_dir, "lineitem"), v.read(spark, sf_dir, "part")
+    way, cents = F.col("l_suppkey") % 4, F.floor(F.round(F.col("p_retailprice") * 100)).cast("bigint")
+    euros = F.concat((cents / 100).cast("bigint").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+    size = F.col("p_size").cast("string")
+    pick = lambda *x: F.element_at(F.array(*[F.lit(y) if isinstance(y, str) else y for y in x]), (way + 1).cast("int"))
+    values = {
+        "price": pick(F.concat(euros, F.lit(" €")), euros, F.concat(F.lit(" "), cents.cast("string")), ""),
+        "brand": pick(F.col("p_brand"), F.concat(F.lit("Rewe "), F.col("p_brand")), "x", F.col("p_type")),
+        "weight": pick(F.concat(size, F.lit("g")), size, F.concat(size, F.lit(" pack")), "  "),
+        "unit": pick("kg", "Stk", "g", "piece"),
+    }
+    said = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").alias("screen"), (F.col("l_linenumber") * 1_000_000 + F.col("l_suppkey") * 10 + F.col("l_partkey") % 10).alias("ord"),
+        F.when(F.col("l_suppkey") % 3 == 2, 10).otherwise(12).alias("weight"), F.round(F.col("l_discount") * 100).cast("int").alias("contamination"),
+        F.explode(F.create_map(*[x for k in SAID_FIELDS for x in (F.lit(k), values[k])])).alias("field", "value"),
+    )
+    return select_fields(said, "screen")
+
+
+def _field_selection_sql() -> str:
+    value = {
+        "price": "CASE way WHEN 0 THEN euros || ' €' WHEN 1 THEN euros WHEN 2 THEN ' ' || cents ELSE '' END",
+        "brand": "CASE way WHEN 0 THEN p_brand WHEN 1 THEN 'Rewe ' || p_brand WHEN 2 THEN 'x' ELSE p_type END",
+        "weight": "CASE way WHEN 0 THEN p_size || 'g' WHEN 1 THEN p_size::VARCHAR WHEN 2 THEN p_size || ' pack' ELSE '  ' END",
+        "unit": "CASE way WHEN 0 THEN 'kg' WHEN 1 THEN 'Stk' WHEN 2 THEN 'g' ELSE 'piece' END",
+    }
+    said = " UNION ALL ".join(f"SELECT screen, ord, weight, contamination, '{f}' AS field, trim({value[f]}) AS x FROM r" for f in SAID_FIELDS)
+    tenths = "CASE field " + " ".join(f"WHEN '{f}' THEN {_tenths_sql(f)}" for f in SAID_FIELDS) + " END"
+    return f"""WITH c AS (SELECT *, floor(round(p_retailprice * 100))::BIGINT AS cents FROM part),
+r AS (SELECT l_orderkey AS screen, l_linenumber * 1000000 + l_suppkey * 10 + l_partkey % 10 AS ord, CASE WHEN l_suppkey % 3 = 2 THEN 10 ELSE 12 END AS weight,
+  round(l_discount * 100)::INT AS contamination, l_suppkey % 4 AS way, cents, (cents // 100) || ',' || lpad((cents % 100)::VARCHAR, 2, '0') AS euros, p_brand, p_type, p_size FROM lineitem JOIN c ON l_partkey = p_partkey),
+s AS ({said}), q AS (SELECT *, {tenths} * (100 - contamination) AS quality FROM s WHERE x <> ''),
+n AS (SELECT *, count(*) OVER (PARTITION BY screen, field, x) AS agree, max(quality) OVER (PARTITION BY screen, field, x) AS best FROM q)
+SELECT screen, field, x AS value, agree, CASE WHEN agree >= 2 THEN best ELSE quality END::INT AS quality FROM n
+QUALIFY row_number() OVER (PARTITION BY screen, field ORDER BY agree >= 2 DESC, CASE WHEN agree >= 2 THEN -ord ELSE quality END DESC, weight DESC, ord, x DESC) = 1"""
+
+
 def snippet_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per brand the prices found in its snippets: how many, least, most and mean, in cents."""
     cents = F.round(t.price_in_text(F.col("text"))["amount"] * 100).cast("bigint")
@@ -296,6 +363,7 @@ QUERIES = {
     "header_geometry": (header_geometry, HEADER_GEOMETRY),
     "answer_checks": (answer_checks, ANSWER_CHECKS),
     "field_quality": (field_quality, _field_quality_sql()),
+    "field_selection": (field_selection, _field_selection_sql()),
     "snippet_prices": (snippet_prices, SNIPPET_PRICES),
     "confidence_pick": (confidence_pick, CONFIDENCE_PICK),
 }

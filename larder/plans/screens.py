@@ -105,22 +105,38 @@ SELECT product_id, CASE WHEN len(leads) > 0 THEN list_reduce(leads, lambda a, b:
   WHEN NOT regexp_matches(ws[1], '^\p{{Lu}}') THEN '' WHEN regexp_matches(ws[2], '^\p{{Lu}}') THEN ws[1] || ' ' || ws[2] ELSE ws[1] END AS brand, len(leads) > 0 AS known FROM k"""
 
 
+#: What follows the day in a capture's name.
+ENDINGS = (" at 10.30.{s} Obst.png", " at 9.05.{s}.jpeg", "_{s} (Kopie) Käse & Wurst.webp", " um 10.30 Gemüse.png", " at 11.{s}.07 PM Brot-Backwaren__neu.PNG")
+MIMES = (("image/png", "png"), ("image/jpeg", "jpg"), ("image/webp", "webp"))
+
+
 def file_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time and last number of capture file names, category words in them, and the MIME type's extension."""
-    name = F.concat(F.lit("Screenshot 2024-"), F.lpad((F.col("file_id") % 12 + 1).cast("string"), 2, "0"), F.lit(" at 10.30."), F.lpad((F.col("file_id") % 60).cast("string"), 2, "0"), F.lit(" Obst.png"))
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    number = F.col("file_id")
+    ending = F.element_at(F.array(*map(F.lit, ENDINGS)), (number % len(ENDINGS) + 1).cast("int"))
+    name = F.concat(F.lit("Screenshot 2024-"), two(number % 12 + 1), F.replace(ending, F.lit("{s}"), two(number % 60)))
     r = v.registry(spark, sf_dir).withColumn("name", name)
     numbers = F.regexp_extract_all("name", F.lit(r"\d+"), 0)
-    ext = F.create_map(*[F.lit(x) for x in ("image/png", "png", "image/jpeg", "jpg", "image/webp", "webp")])
-    mime = F.element_at(F.array(*[F.lit(m) for m in ("image/png", "image/jpeg", "image/tiff")]), (F.col("file_id") % 3 + 1).cast("int"))
+    ext = F.create_map(*[F.lit(x) for kv in MIMES for x in kv])
+    mime = F.element_at(F.array(*[F.lit(m) for m, _ in MIMES], F.lit("image/tiff")), (number % (len(MIMES) + 1) + 1).cast("int"))
     return r.select(
         "file_id", F.regexp_extract("name", r"at (\d+\.\d+\.\d+)", 1).alias("time"), F.when(F.size(numbers) >= 2, F.element_at(numbers, -1)).alias("last"),
         t.category(F.col("name")).alias("category"), t.file_name(F.col("name")).alias("safe"), F.coalesce(F.try_element_at(ext, mime), F.lit("bin")).alias("ext"),
     )
 
 
-FILE_CATEGORIES = f"""WITH {v.REGISTRY}, n AS (SELECT file_id, lpad((file_id % 12 + 1)::VARCHAR, 2, '0') AS m, lpad((file_id % 60)::VARCHAR, 2, '0') AS s FROM v_registry)
-SELECT file_id, '10.30.' || s AS time, s AS last, 'Obst' AS category, 'Screenshot_2024_' || m || '_at_10_30_' || s || '_Obst_png' AS safe,
-  CASE file_id % 3 WHEN 0 THEN 'png' WHEN 1 THEN 'jpg' ELSE 'bin' END AS ext FROM n"""
+def _file_categories_sql() -> str:
+    from larder.plans.stats import _category_sql
+
+    endings = "[" + ", ".join(f"'{e}'" for e in ENDINGS) + "]"
+    types = "[" + ", ".join(f"'{m}'" for m, _ in MIMES) + ", 'image/tiff']"
+    return rf"""WITH {v.REGISTRY}, n AS (SELECT file_id, 'Screenshot 2024-' || lpad((file_id % 12 + 1)::VARCHAR, 2, '0') ||
+  replace({endings}[(file_id % {len(ENDINGS)} + 1)::INT], '{{s}}', lpad((file_id % 60)::VARCHAR, 2, '0')) AS name, {types}[(file_id % {len(MIMES) + 1} + 1)::INT] AS mime FROM v_registry),
+w AS (SELECT *, list_filter(string_split_regex(name, '[^0-9]+'), lambda x: x <> '') AS numbers, list_filter(string_split_regex(name, '[^A-Za-z0-9]+'), lambda x: x <> '') AS words FROM n)
+SELECT file_id, CASE WHEN regexp_matches(name, ' at [0-9]+[.][0-9]+[.][0-9]') THEN regexp_extract(split_part(name, ' at ', 2), '^[0-9.]+[0-9]') ELSE '' END AS time,
+  numbers[-1] AS last, {_category_sql('name')} AS category, substring(array_to_string(words, '_'), 1, 50) AS safe,
+  CASE mime {' '.join(f"WHEN '{m}' THEN '{e}'" for m, e in MIMES)} ELSE 'bin' END AS ext FROM w"""
 
 
 def enrichment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,15 +207,24 @@ SUBMIT_REQUESTS = f"""WITH {v.REGISTRY}, a AS (SELECT file_id, EXISTS (FROM v_re
 SELECT CASE WHEN hit THEN 'completed' ELSE 'queued' END AS state, (file_id % 3 + 1)::INT AS priority, count(*) AS requests, min(file_id) AS first FROM a GROUP BY ALL"""
 
 
+#: How answers are cut off; {n} is a number and {k} a field of the log.
+CUTS = ('{"name": "n{n}", "k": {k}, "brand": "Re', '{"name": "n{n}, extra", "k": {k}, "brand": "Rewe"}', '{"name": "a {b} c", "k": {k}, "brand": "', '{"brand": "B{n}", "k": {k}, "name": "Apf')
+
+
 def repaired_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut-off JSON answers: the unfinished field goes, the brace is closed, missing fields get defaults."""
-    cut = F.concat(F.lit('{"name": "n'), F.col("file_id").cast("string"), F.lit('", "k": '), F.get_json_object("props", "$.k"), F.lit(', "brand": "Re'))
-    fixed_ = F.concat(F.regexp_replace(cut, r',\s*"\w+":\s*"[^"]*$', ""), F.lit("}"))
-    read = F.from_json(fixed_, "name string, k bigint, brand string")
-    return v.registry(spark, sf_dir).select("file_id", read["name"].alias("name"), read["k"].alias("k"), F.coalesce(read["brand"], F.lit("")).alias("brand"))
+    cut = F.element_at(F.array(*map(F.lit, CUTS)), (F.col("file_id") % len(CUTS) + 1).cast("int"))
+    cut = F.replace(F.replace(cut, F.lit("{n}"), F.col("file_id").cast("string")), F.lit("{k}"), F.get_json_object("props", "$.k"))
+    whole = F.regexp_replace(cut, r',\s*"\w+":\s*"[^"]*$', "")
+    read = F.from_json(F.when(whole.endswith("}"), whole).otherwise(F.concat(whole, F.lit("}"))), "name string, k bigint, brand string")
+    blank = lambda c: F.coalesce(read[c], F.lit("")).alias(c)
+    return v.registry(spark, sf_dir).select("file_id", blank("name"), read["k"].alias("k"), blank("brand"))
 
 
-REPAIRED_JSON = f"""WITH {v.REGISTRY} SELECT file_id, 'n' || file_id AS name, json_extract_string(props, '$.k')::BIGINT AS k, '' AS brand FROM v_registry"""
+_CUTS = "[" + ", ".join(f"'{c}'" for c in CUTS) + "]"
+# a field counts if its closing quote is there
+REPAIRED_JSON = rf"""WITH {v.REGISTRY}, c AS (SELECT file_id, replace(replace({_CUTS}[(file_id % {len(CUTS)} + 1)::INT], '{{n}}', file_id::VARCHAR), '{{k}}', json_extract_string(props, '$.k')) AS cut FROM v_registry)
+SELECT file_id, regexp_extract(cut, '"name": "([^"]*)"', 1) AS name, regexp_extract(cut, '"k": ([0-9]+)', 1)::BIGINT AS k, regexp_extract(cut, '"brand": "([^"]*)"', 1) AS brand FROM c"""
 
 
 def extraction_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +294,7 @@ QUERIES = {
     "ocr_lines": (ocr_lines, OCR_LINES),
     "exclusive_pricing": (exclusive_pricing, EXCLUSIVE_PRICING),
     "brand_split": (brand_split, _brand_split_sql()),
-    "file_categories": (file_categories, FILE_CATEGORIES),
+    "file_categories": (file_categories, _file_categories_sql()),
     "enrichment_scores": (enrichment_scores, ENRICHMENT_SCORES),
     "image_quality": (image_quality, IMAGE_QUALITY),
     "longest_answer": (longest_answer, LONGEST_ANSWER),
