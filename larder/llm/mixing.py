@@ -14,8 +14,8 @@ to the other sources.) mixed_documents() range-sorts the mix by finish time.
 Null sources are a source of their own, the last. Null texts have no tokens.
 Rows that are alike in all that orders them are alike in the result. An empty
 table, or one without tokens, gives every row zero copies. No group is gathered:
-cumulative sums come from hash buckets of bounded expected size, whose totals
-are carried over.
+cumulative sums come from ranges of the order, whose totals are carried over, so
+a source, or one id, may have any share of the rows.
 """
 
 from __future__ import annotations
@@ -85,25 +85,12 @@ def mix(
     narrow = scratch.keep(keyed.select("source", "doc_id", "size", "_h"))
     totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     aims, level = targets(totals, list(weights), share, most, scratch)
-    # a hash has no ties but between equal ids, so its leading digits make even buckets of any source
-    rows = narrow.count()
-    digits = max(1, min(8, len(f"{max(1, rows // 2000):x}")))
-    bucketed = narrow.withColumn("_b", F.substring("_h", 1, digits))
-    sums = bucketed.groupBy("source", "_b").agg(F.sum("size").alias("_sum"))
-    upto = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        F.col("source").alias("_s"), F.col("_b").alias("_ob"), F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("source", "_b").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    # ranges of the order, so that neither a source nor the rows of one id meet in one task; rows alike in all else go by their number
+    before = prefix_sums(narrow.withColumn("_row", F.monotonically_increasing_id()), ["source"], ["_h", "doc_id", "size", "_row"], {"size": "_before"}, scratch)
     queued = (
-        bucketed.withColumn("_in", F.sum("size").over(inside))
-        .join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_ob")))
-        .join(
-            aims.select(F.col("source").alias("_a"), "source_size", "weight", "target"),
-            F.col("source").eqNullSafe(F.col("_a")),
-        )
-        .withColumn("_upto", F.col("_in") + F.col("_offset"))
-        .select("source", "doc_id", "size", "_h", "source_size", "weight", "target", "_upto")
+        before.join(aims.select(F.col("source").alias("_a"), "source_size", "weight", "target"), F.col("source").eqNullSafe(F.col("_a")))
+        .withColumn("_upto", F.col("_before") + F.col("size"))
+        .select("source", "doc_id", "size", "source_size", "weight", "target", "_upto")
     )
     middle = F.col("_upto") - F.col("size") / 2
     taken = [((middle + k * F.col("source_size")) / F.col("weight") <= F.lit(level)).cast("int") for k in range(most)]
@@ -118,27 +105,20 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
 
     Rows of one id, source and size take the decisions of such rows in the order of a hash of the row.
     """
-    got = mix(documents, **how)
+    got = mix(documents, **how).where("copies > 0")
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
     id_, source = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
-    decided = (
-        got.groupBy(id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"))
-        .agg(
-            F.sort_array(F.collect_list(F.struct("copies", "finish")), asc=False).alias("each"),
-            F.first(F.col("source_size") / F.col("weight")).alias("_lap"),
-        )
-        .where("each[0].copies > 0")
-    )
+    alike = Window.partitionBy("_d", "_s", "_z")
+    decided = got.select(
+        id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"), "copies", "finish", (F.col("source_size") / F.col("weight")).alias("_lap")
+    ).withColumn("_n", F.row_number().over(alike.orderBy(F.desc("copies"), F.desc("finish"))))
     # by a hash of the whole row, so that reruns agree
-    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64("doc")))
     numbered = documents.select(
         F.struct(*documents.columns).alias("doc"), id_.alias("_d"), source.alias("_s"), words.alias("_z")
-    ).withColumn("_n", nth)
+    ).withColumn("_n", F.row_number().over(alike.orderBy(F.xxhash64("doc"))))
     return (
-        numbered.join(decided, ["_d", "_s", "_z"])
-        .withColumn("way", F.element_at("each", F.col("_n")))
-        .where("way.copies > 0")
-        .select("doc", "_d", "_lap", "way.finish", F.explode(F.sequence(F.lit(0), F.col("way.copies") - 1)).alias("_k"))
+        numbered.join(decided, ["_d", "_s", "_z", "_n"])
+        .select("doc", "_d", "_lap", "finish", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("_k"))
         .withColumn("finish", F.col("finish") + F.col("_k") * F.col("_lap"))
         .repartitionByRange("finish", "_d")
         .sortWithinPartitions("finish", "_d")

@@ -338,3 +338,17 @@ def test_quality_edges(spark, documents, none):
     empty = quality.fit(documents, labels.where("false"))
     assert {r["score"] for r in quality.classify(documents, empty).collect()} == {0.5}
     assert hashlib is not None
+
+
+def test_mix_of_a_hundred_thousand_rows_without_id(spark):
+    """Rows of one id in a source are dealt to many tasks, and come near their targets like others."""
+    df = spark.range(100_000, numPartitions=8).selectExpr("CAST(if(id % 10 = 0, id, NULL) AS bigint) AS doc_id", "repeat('w ', cast(id % 7 AS int)) AS text", "if(id % 3 = 0, 's', NULL) AS source")
+    got = mixing.mix(df).persist()
+    assert got.count() == 100_000
+    for r in got.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size")).alias("taken")).collect():
+        assert abs(r["taken"] - r["target"]) <= 3
+    mixed = mixing.mixed_documents(df)
+    assert mixed.count() == got.agg(F.sum("copies")).first()[0]
+    sizes = lambda d, n: {tuple(r) for r in d.groupBy("source", "_z").agg(n).collect()}
+    words = F.regexp_count("text", F.lit(mixing.WORD)).cast("long")
+    assert sizes(mixed.withColumn("_z", words), F.count("*")) == sizes(got.where("copies > 0").withColumn("_z", F.col("size")), F.sum("copies"))
