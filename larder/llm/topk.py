@@ -1,13 +1,14 @@
 """Exact top-k search by inner product with norm-bucketed retrieval.
 
 Vectors are sorted by length and cut into buckets of near-equal length, which
-are packed as matrices. Queries go in blocks, and every block meets every bucket
-(a stated query set against all rows; no cross join: blocks are dealt to
-the groups of buckets). From a query's k-th best score so far follows the cosine
-that a bucket's vectors would need (its local threshold, after Teflioudi and
-others, LEMP, 2015). Above 1 the bucket is passed over; where it is low, vectors
-are pruned by their own length; else by the ranges that the query's largest
-coordinates leave to a unit vector. What is left is verified by exact integer
+are packed as matrices. Queries go in blocks, and every block meets the buckets
+whose vectors are long enough (a stated query set against all rows; no cross join:
+blocks are dealt to the groups of buckets). The longest vectors come first: they
+give each query a k-th score to start from. From a query's k-th best score so far
+follows the cosine that a bucket's vectors would need (its local threshold, after
+Teflioudi and others, LEMP, 2015). Above 1 the bucket is passed over; where it is
+low, vectors are pruned by their own length; else by the ranges that the query's
+largest coordinates leave to a unit vector. What is left is verified by exact integer
 products. Ties go to the smaller id.
 
 Vectors that are null or hold a null or non-finite component take no part.
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.prefix import prefix_sums
@@ -89,16 +90,27 @@ def _products(q: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
+def _longest(matrix: str, dim: str) -> Column:
+    """The greatest length of a packed matrix's rows."""
+
+    @F.pandas_udf("double")
+    def longest(m: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([float(np.sqrt((np.frombuffer(x, np.float64).reshape(-1, max(1, n)) ** 2).sum(axis=1)).max(initial=0.0)) for x, n in zip(m, d)], dtype="float64")
+
+    return longest(matrix, dim)
+
+
 class _Best:
-    """The k best of a query block so far."""
+    """The k best of a query block so far. floor: scores that each query's k-th best reaches anyway."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None):
         self.k = k
+        self.floor = np.full(n, -np.inf) if floor is None else floor
         self.scores = [np.empty(0, np.int64) for _ in range(n)]
         self.ids = [np.empty(0, np.int64) for _ in range(n)]
 
     def least(self, i: int) -> float:
-        return float(self.scores[i][-1]) if len(self.scores[i]) == self.k else -np.inf
+        return max(float(self.scores[i][-1]) if len(self.scores[i]) == self.k else -np.inf, float(self.floor[i]))
 
     def add(self, i: int, scores: np.ndarray, ids: np.ndarray) -> None:
         s, d = np.concatenate([self.scores[i], scores]), np.concatenate([self.ids[i], ids])
@@ -151,8 +163,8 @@ def _search(best: _Best, q: np.ndarray, q_ids: np.ndarray, m: np.ndarray, ids: n
 
 def _take(best: _Best, i: int, scores: np.ndarray, ids: np.ndarray, own: int) -> None:
     other = ids != own
-    if len(best.scores[i]) == best.k:
-        other &= scores >= best.scores[i][-1]
+    if best.least(i) > -np.inf:
+        other &= scores >= best.least(i)
     scores, ids = scores[other], ids[other]
     if len(scores) > 64:
         kth = np.partition(scores, len(scores) - best.k)[len(scores) - best.k]
@@ -175,34 +187,65 @@ def top_k(candidates: DataFrame, queries: DataFrame, *, k: int = 5, buckets: int
     )
     rows = scratch.keep(_packed(sized(candidates), BUCKET, scratch))
     asked = scratch.keep(_packed(sized(queries.dropDuplicates(["id", "v"])), BLOCK, scratch))
-    # groups of neighbouring lengths would differ in their use; dealt in turn, each has long and short buckets
-    n = lambda df, per: -(-max(1, df.count()) // per)
-    g, h = n(rows, buckets), n(asked, blocks)
     columns = ["dim", "bucket", "ids", "matrix"]
-    left = rows.select(*columns, (F.col("bucket") % g).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(h - 1))).alias("h"))
-    right = asked.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("g"), (F.col("bucket") % h).alias("h"))
-    key = ["dim", F.col("g").cast("long").alias("g"), F.col("h").cast("long").alias("h")]
+
+    def unpacked(row, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(row.ids, np.int64), np.frombuffer(row.matrix, np.float64).reshape(len(row.ids) // 8, dim)
 
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """Buckets and blocks of queries -> each query's best; a query starts at the score that its k-th best is known to reach."""
         dim, out = int(key[0]), []
-        packs = [
-            (np.frombuffer(b.ids, np.int64), np.frombuffer(b.matrix, np.float64).reshape(len(b.ids) // 8, dim))
-            for b in left.sort_values("bucket").itertuples(index=False)
-        ]
+        packs = [unpacked(b, dim) for b in left.sort_values("bucket").itertuples(index=False)]
         for block in right.itertuples(index=False):
-            q_ids = np.frombuffer(block.ids, np.int64)
-            q = np.frombuffer(block.matrix, np.float64).reshape(len(q_ids), dim)
-            best = _Best(len(q_ids), k)
+            q_ids, q = unpacked(block, dim)
+            floor = np.frombuffer(block.least, np.float64) if block.least else None
+            best = _Best(len(q_ids), k, floor)
             for ids, m in packs:
                 _search(best, q, q_ids, m, ids)
             for i, own in enumerate(q_ids):
                 name = int(np.frombuffer(_digest(q[i].tobytes()), np.int64)[0])
-                out += [(int(own), name, int(d), int(s)) for s, d in zip(best.scores[i], best.ids[i])]
-        return pd.DataFrame(out, columns=["query_id", "vector", "vec_id", "score"]).astype("int64")
-
-    met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
-        meet, "query_id long, vector long, vec_id long, score long"
-    )
+                out += [(dim, int(block.bucket), i, int(own), name, int(d), int(s)) for s, d in zip(best.scores[i], best.ids[i])]
+        return pd.DataFrame(out, columns=["dim", "block", "place", "query_id", "vector", "vec_id", "score"]).astype("int64")
+
+    found = "dim long, block long, place long, query_id long, vector long, vec_id long, score long"
+    # first the longest vectors, which bound most queries' k-th best from below
+    ahead = F.col("bucket") < buckets
+    left = rows.where(ahead).select(*columns, F.lit(0).alias("g"))
+    h = -(-max(1, asked.count()) // blocks)
+    left = left.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(h - 1))))
+    right = asked.select(*columns, F.lit(None).cast("binary").alias("least"), F.lit(0).alias("g"), (F.col("bucket") % h).alias("h"))
+    key = ["dim", F.col("g").cast("long").alias("g"), F.col("h").cast("long").alias("h")]
+    first = scratch.keep(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, found))
+
+    def bounds(key, best: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        """A block with its queries' k-th scores so far, and the length that a vector needs to reach any of them."""
+        out = []
+        for row in block.itertuples(index=False):
+            _, q = unpacked(row, int(key[0]))
+            least = np.full(len(q), -np.inf)
+            for place, scores in best.groupby("place")["score"]:
+                if len(scores) >= k:
+                    least[int(place)] = float(np.sort(scores.to_numpy())[-k])
+            size = np.sqrt((q * q).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+                needs = np.where(least > 0, least / size, 0.0)
+            out.append((row.dim, row.bucket, row.ids, row.matrix, least.tobytes(), float(np.nan_to_num(needs, nan=0.0).min(initial=np.inf))))
+        return pd.DataFrame(out, columns=[*columns, "least", "needs"])
+
+    so_far = first.select(F.col("dim").cast("int").alias("dim"), F.col("block").alias("bucket"), "place", "score")
+    blocks_ = asked.groupBy("dim", "bucket").cogroup(so_far.groupBy("dim", "bucket"))
+    blocks_ = scratch.keep(blocks_.applyInPandas(lambda key, block, best: bounds(key, best, block), "dim int, bucket long, ids binary, matrix binary, least binary, needs double"))
+    # the others by length: blocks meet no group whose longest vector is too short for all their queries
+    others = scratch.keep(rows.where(~ahead).withColumn("g", F.floor(F.col("bucket") / buckets).cast("long")).withColumn("longest", _longest("matrix", "dim")))
+    groups = others.groupBy("dim", "g").agg(F.max("longest").alias("longest"))
+    pairs = blocks_.select("dim", "bucket", "needs").join(groups, "dim").where(F.col("needs") <= F.col("longest") * (1 + 1e-9) + 1e-9)
+    pairs = scratch.keep(pairs.select("dim", "g", "bucket", F.floor(F.col("bucket") / blocks).alias("h")))
+    left = others.join(pairs.select("dim", "g", "h").distinct(), ["dim", "g"]).select(*columns, "g", "h")
+    right = blocks_.join(pairs, ["dim", "bucket"])
+    # named anew, as both sides have them from the same table
+    right = right.select(*[F.col(c).alias(c) for c in (*columns, "least", "g", "h")])
+    rest = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, found)
+    met = first.union(rest)
     order = Window.partitionBy("query_id", "vector").orderBy(F.col("score").desc(), "vec_id")
     return (
         met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
