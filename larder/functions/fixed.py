@@ -153,3 +153,5 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 # breaks of screens: expected places as shares of the height, how far off, and what counts as a jump
 HEADER_AT, FOOTER_AT, BREAK_TOLERANCE, BREAK_PERCENTILE = 0.1903, 0.9113, 0.03, 0.95
 EDGE_DEVIATIONS, HEADER_MARGIN, FOOTER_LIMIT = 2.0, 0.05, 0.95
+# image providers: name, cost in cents, speed and quality of ten, in the order in which equals are taken
+IMAGE_PROVIDERS = (("local", 0, 8, 7), ("remove_bg", 20, 5, 9), ("photoroom", 10, 6, 8), ("removal_ai", 15, 6, 8))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from larder.plans import enrichment, jobs, ladders, layers, matching, pages, parsing, rules, screens, stats, votes
+from larder.plans import enrichment, jobs, ladders, layers, matching, outcomes, pages, parsing, rules, screens, stats, votes
 
-_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES, **enrichment.QUERIES, **screens.QUERIES, **rules.QUERIES, **pages.QUERIES, **layers.QUERIES, **ladders.QUERIES}
+_ALL = {**stats.QUERIES, **parsing.QUERIES, **matching.QUERIES, **votes.QUERIES, **jobs.QUERIES, **enrichment.QUERIES, **screens.QUERIES, **rules.QUERIES, **pages.QUERIES, **layers.QUERIES, **ladders.QUERIES, **outcomes.QUERIES}
 
 
 def queries() -> dict:
