@@ -112,18 +112,18 @@ FIRST_RETAILER = """SELECT l_partkey AS product_id, first(s_nationkey ORDER BY s
 
 
 def zipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words and their places by position, cut to the shorter list; the longest word of each text's first twenty."""
-    g = v.ocr(spark, sf_dir)
+    """A text's words and its numbers by position, cut to the shorter list: how many pairs, and the longest word with its place and number."""
     words = F.filter(F.split("text", " "), lambda w: (w != "|") & (w != ""))
-    zipped = F.arrays_zip(F.slice(words, 1, 8).alias("w"), F.sequence(F.lit(1), F.lit(6)).alias("k"))
-    whole = F.filter(zipped, lambda z: z["w"].isNotNull() & z["k"].isNotNull())
-    rows = g.select("product_id", F.size(whole).alias("n"), F.array_max(F.transform(whole, lambda z: F.struct(F.char_length(z["w"]).alias("len"), (-z["k"]).alias("k"), z["w"].alias("w")))).alias("b"))
-    return rows.select("product_id", "n", F.col("b.w").alias("longest"), (-F.col("b.k")).alias("place"))
+    numbers = F.regexp_extract_all("text", F.lit(r"\d+"), 0)
+    rows = v.ocr(spark, sf_dir).select("product_id", F.arrays_zip(words.alias("w"), numbers.alias("x")).alias("all"))
+    pairs = F.filter("all", lambda z: z["w"].isNotNull() & z["x"].isNotNull())
+    best = F.array_max(F.transform(pairs, lambda z, k: F.struct(F.char_length(z["w"]).alias("n"), (-k).alias("k"), z["w"].alias("w"), z["x"].alias("x"))))
+    return rows.select("product_id", F.size(pairs).alias("n"), best.alias("b")).select("product_id", "n", F.col("b.w").alias("longest"), (1 - F.col("b.k")).alias("place"), F.col("b.x").alias("number"))
 
 
-ZIPPED_LINES = f"""WITH {v.OCR_SQL}, w AS (SELECT product_id, list_filter(string_split(text, ' '), lambda x: x <> '|' AND x <> '')[:6] AS ws FROM v_ocr),
-u AS (SELECT product_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS k, len(ws) AS n FROM w)
-SELECT product_id, any_value(n)::INT AS n, first(w ORDER BY length(w) DESC, k) AS longest, first(k ORDER BY length(w) DESC, k)::INT AS place FROM u GROUP BY product_id"""
+ZIPPED_LINES = rf"""WITH {v.OCR_SQL}, w AS (SELECT product_id, list_filter(string_split(text, ' '), lambda x: x <> '|' AND x <> '') AS ws, regexp_extract_all(text, '\d+') AS xs FROM v_ocr),
+u AS (SELECT product_id, ws[k] AS w, xs[k] AS x, k, least(len(ws), len(xs)) AS n FROM (SELECT *, unnest(generate_series(1, least(len(ws), len(xs)))) AS k FROM w))
+SELECT product_id, any_value(n)::INT AS n, first(w ORDER BY length(w) DESC, k) AS longest, first(k ORDER BY length(w) DESC, k)::INT AS place, first(x ORDER BY length(w) DESC, k) AS number FROM u GROUP BY product_id"""
 
 
 def component_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
