@@ -108,17 +108,24 @@ def mixed_documents(documents: DataFrame, **how) -> DataFrame:
     got = mix(documents, **how).where("copies > 0")
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
     id_, source = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
-    alike = Window.partitionBy("_d", "_s", "_z")
-    decided = got.select(
-        id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"), "copies", "finish", (F.col("source_size") / F.col("weight")).alias("_lap")
-    ).withColumn("_n", F.row_number().over(alike.orderBy(F.desc("copies"), F.desc("finish"))))
+    # a list for each id, source and size: its rows meet by these alone, which the texts are dealt by anyway
+    decided = (
+        got.groupBy(id_.alias("_d"), source.alias("_s"), F.col("size").alias("_z"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("copies", "finish")), asc=False).alias("each"),
+            F.first(F.col("source_size") / F.col("weight")).alias("_lap"),
+        )
+    )
     # by a hash of the whole row, so that reruns agree
+    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64("doc")))
     numbered = documents.select(
         F.struct(*documents.columns).alias("doc"), id_.alias("_d"), source.alias("_s"), words.alias("_z")
-    ).withColumn("_n", F.row_number().over(alike.orderBy(F.xxhash64("doc"))))
+    ).withColumn("_n", nth)
     return (
-        numbered.join(decided, ["_d", "_s", "_z", "_n"])
-        .select("doc", "_d", "_lap", "finish", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("_k"))
+        numbered.join(decided, ["_d", "_s", "_z"])
+        .where(F.col("_n") <= F.size("each"))
+        .withColumn("way", F.element_at("each", F.col("_n")))
+        .select("doc", "_d", "_lap", "way.finish", F.explode(F.sequence(F.lit(0), F.col("way.copies") - 1)).alias("_k"))
         .withColumn("finish", F.col("finish") + F.col("_k") * F.col("_lap"))
         .repartitionByRange("finish", "_d")
         .sortWithinPartitions("finish", "_d")
