@@ -11,12 +11,14 @@ from larder.llm.text import small_batches
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder. Only a local session without one gets a temporary one, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="larder-checkpoint-"))
     return sc.getCheckpointDir()
 

@@ -111,3 +111,22 @@ def test_components(spark, monkeypatch, local):
     for a, b in edges:
         forest.join(a, b)
     assert got == {x: forest.root(x) for e in edges if e[0] != e[1] for x in e}
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_top_k_of_many_lengths(spark, monkeypatch, spread):
+    """Queries start from what the longest vectors gave them, and pass over groups that are too short; nothing is lost."""
+    monkeypatch.setattr(topk, "BUCKET", 32)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    r = np.random.default_rng(3)
+    x = r.standard_normal((1500, 12)) * r.lognormal(0, spread, (1500, 1)) if spread else np.sign(r.standard_normal((1500, 12)))
+    df = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(5)
+    v = topk.integers(df)
+    got = topk.top_k(v, v.where("id % 30 = 0"), k=4, buckets=2, blocks=1).collect()
+    e = np.floor(x * 256).astype(np.int64)
+    want = []
+    for q in range(0, 1500, 30):
+        s = e @ e[q]
+        order = [d for d in np.lexsort((np.arange(1500), -s)) if d != q][:4]
+        want += [(q, k + 1, int(d), int(s[d])) for k, d in enumerate(order)]
+    assert sorted((a["query_id"], a["rank"], a["vec_id"], a["score"]) for a in got) == want
