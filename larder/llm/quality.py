@@ -27,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from larder.llm.text import lean, portions, small_batches, texts
 
 WORDS, SHAPES, MEASURES = 3072, 896, 128
 TERMS = WORDS + SHAPES + MEASURES
 STARTS = (0, WORDS, WORDS + SHAPES, TERMS)
+#: words that a task remembers, and of how many bytes
+MOST_WORDS, LONGEST_WORD = 250_000, 64
 
 _SHAPE = bytes(
     97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)
@@ -40,16 +43,31 @@ _SHAPE = bytes(
 _RUN = re.compile(rb"(.)\1+", re.S)
 
 
+class _Shapes(dict):
+    """Translated word -> shape bucket, after runs of a sign are made one."""
+
+    def __missing__(self, signs: bytes) -> int:
+        if len(self) > 50_000:
+            self.clear()
+        got = WORDS + xxh3_64_intdigest(_RUN.sub(rb"\1", signs)[:24]) % SHAPES
+        if len(signs) <= LONGEST_WORD:
+            self[signs] = got
+        return got
+
+
 class _Buckets(dict):
     """Word -> its word bucket and its shape bucket in one number."""
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest as h
+    def __init__(self) -> None:
+        super().__init__()
+        self.shapes = _Shapes()
 
-        if len(self) > 100_000:
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > MOST_WORDS:
             self.clear()
-        shape = _RUN.sub(rb"\1", word.translate(_SHAPE))[:24]
-        self[word] = got = (h(word.lower()) % WORDS) * TERMS + WORDS + h(shape) % SHAPES
+        got = (xxh3_64_intdigest(word.lower()) % WORDS) * TERMS + self.shapes[word.translate(_SHAPE)]
+        if len(word) <= LONGEST_WORD:
+            self[word] = got
         return got
 
 
@@ -58,12 +76,15 @@ def _band(name: int, value: float) -> int:
     return WORDS + SHAPES + name * 8 + min(7, int(value * 8))
 
 
-def _measures(text: bytes, words: list[bytes]) -> list[int]:
+def _measures(text: bytes, words: list[bytes], buckets: np.ndarray) -> list[int]:
+    """Terms of the whole text's measures; buckets: of its words."""
     n, lines = max(1, len(words)), [x for x in text.split(b"\n") if x.strip()]
-    lower = text.lower().split()
+    # words that differ by their bucket are not alike in lower case either
+    alike = np.flatnonzero(buckets[1:] == buckets[:-1]).tolist()
     size = max(1, len(text))
-    letters = sum(map(text.translate(_SHAPE).count, (b"a", b"A")))
-    upper = text.translate(_SHAPE).count(b"A")
+    signs = text.translate(_SHAPE)
+    upper, digits = signs.count(b"A"), signs.count(b"0")
+    letters = signs.count(b"a") + upper
     return [
         _band(0, len(set(words)) / n),
         _band(1, 1 - len(set(lines)) / max(1, len(lines))),
@@ -72,8 +93,8 @@ def _measures(text: bytes, words: list[bytes]) -> list[int]:
         _band(4, min(1.0, sum(map(len, words)) / n / 16)),
         _band(5, min(1.0, len(lines) / n)),
         _band(6, min(1.0, np.log2(n) / 16)),
-        _band(8, sum(map(bytes.__eq__, lower, lower[1:])) / n),
-        _band(7, min(1.0, 4 * sum(map(text.count, (b"0", b"1", b"2", b"3", b"4", b"5", b"6", b"7", b"8", b"9"))) / size)),
+        _band(8, sum(words[k].lower() == words[k + 1].lower() for k in alike) / n),
+        _band(7, min(1.0, 4 * digits / size)),
     ]
 
 
@@ -82,8 +103,9 @@ def term_counts(some: list[bytes], buckets: _Buckets) -> Iterator[tuple[np.ndarr
     for text in some:
         words = text.split()
         both = np.fromiter(map(buckets.__getitem__, words), np.int64, len(words))
-        counts = np.bincount(np.concatenate([both // TERMS, both % TERMS]), minlength=TERMS)
-        counts[_measures(text, words)] += 1
+        of_words, of_shapes = np.divmod(both, TERMS)
+        counts = np.bincount(np.concatenate([of_words, of_shapes]), minlength=TERMS)
+        counts[_measures(text, words, of_words)] += 1
         terms = np.flatnonzero(counts)
         yield terms, counts[terms]
 
