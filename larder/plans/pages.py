@@ -21,7 +21,9 @@ LAYOUTS = (
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = v.grocery(spark, sf_dir)
+    # a parts file is small for its rows, so one task would read it and parse all pages
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = v.grocery(spark, sf_dir).select("product_id", "product_name", "brand", "price", "description").repartition(n)
     parts = {"name": F.col("product_name"), "brand": F.col("brand"), "price": F.col("price"), "about": F.col("description"), "id": F.col("product_id").cast("string")}
 
     def filled(layout: str):
@@ -30,7 +32,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             html = F.replace(html, F.lit(f"{{{k}}}"), c)
         return html
 
-    html = F.element_at(F.array(*map(filled, LAYOUTS)), (F.col("product_id") % len(LAYOUTS) + 1).cast("int"))
+    html = F.coalesce(*[F.when(F.col("product_id") % len(LAYOUTS) == k, filled(x)) for k, x in enumerate(LAYOUTS)])
     return g.select("product_id", F.concat(F.lit("https://shop.example.com/p/"), parts["id"]).alias("url"), html.alias("html"))
 
 

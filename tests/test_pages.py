@@ -68,3 +68,11 @@ def test_page_fields_query(spark, small):
         assert r["title"] == ("".join(h.unescape(x).strip() for x in re.split(r"<[^>]*>", heads[0])) if heads else "")
         shown = "".join(t for t, _, seen in Page(rows[r["page_id"]]).texts if seen).lower()
         assert r["facts"] <= sum(w in rows[r["page_id"]].lower() for w in fixed.PAGE_NUTRITION) and (r["facts"] or not any(w in shown for w in ("nutrition", "protein")))
+
+
+def test_pages_of_one_small_file_are_parsed_in_many_tasks(spark, tmp_path):
+    parts = spark.range(4000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "cast(id % 50 AS int) AS p_size", "1.0D AS p_retailprice")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = pages.product_page(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    each = [r["count"] for r in found.groupBy("task").count().collect()]
+    assert sum(each) == 4000 and len(each) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(each) < 1.2 * min(each)
