@@ -273,20 +273,21 @@ def select_fields(said: DataFrame, key: str) -> DataFrame:
     answers share wins; else the one of best quality, then of the heaviest model,
     then the first. Quality is the field's own, in thousandths, less the answer's
     contamination in percent. Blank values are no answers. Values are counted, and
-    the best answer of each kept, before a key's values meet.
+    the best answer of each kept, before a key's values meet. Answers that are dealt
+    by their key already are not shuffled again.
     """
     rows = said.withColumn("value", t.strip(F.col("value"))).where("value <> ''")
     own = F.lit(0)
     for f in QUALITY_FIELDS:
         own = F.when(F.col("field") == f, quality_tenths(f, F.col("value"))).otherwise(own)
     rows = rows.withColumn("quality", own * (100 - F.col("contamination")))
-    best = F.max(F.struct("quality", "weight", (-F.col("ord")).alias("o"), "value"))
+    best = F.max(F.struct("quality", "weight", (-F.col("ord")).alias("o")))
     per = rows.groupBy(key, "field", "value").agg(F.count("*").alias("agree"), F.min("ord").alias("first"), best.alias("best"))
     shared = F.min(F.when(F.col("agree") >= 2, F.struct("first", "value", "agree", F.col("best.quality").alias("quality"))))
-    alone = F.max(F.struct("best", "agree"))
+    alone = F.max(F.struct("best", "value", "agree"))
     found = per.groupBy(key, "field").agg(shared.alias("s"), alone.alias("a"))
     return found.select(
-        key, "field", F.coalesce("s.value", "a.best.value").alias("value"), F.coalesce("s.agree", "a.agree").alias("agree"), F.coalesce("s.quality", "a.best.quality").alias("quality"),
+        key, "field", F.coalesce("s.value", "a.value").alias("value"), F.coalesce("s.agree", "a.agree").alias("agree"), F.coalesce("s.quality", "a.best.quality").alias("quality"),
     )
 
 
@@ -296,7 +297,7 @@ SAID_FIELDS = ("price", "brand", "weight", "unit")
 def field_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of each product as the answers on one screen (an order) come to; suppliers are the models, and spell in four ways."""
     lines, parts = v.read(spark, sf_dir, "lineitem"), v.read(spark, sf_dir, "part")
-    way, cents = F.col("l_suppkey") % 4, F.floor(F.round(F.col("p_retailprice") * 100)).cast("bigint")
+    way, cents = F.col("way"), F.col("cents")
     euros = F.concat((cents / 100).cast("bigint").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
     size = F.col("p_size").cast("string")
     pick = lambda *x: F.element_at(F.array(*[F.lit(y) if isinstance(y, str) else y for y in x]), (way + 1).cast("int"))
@@ -306,10 +307,15 @@ def field_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
         "weight": pick(F.concat(size, F.lit("g")), size, F.concat(size, F.lit(" pack")), "  "),
         "unit": pick("kg", "Stk", "g", "piece"),
     }
-    said = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+    answers = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("screen"), (F.col("l_linenumber") * 1_000_000 + F.col("l_suppkey") * 10 + F.col("l_partkey") % 10).alias("ord"),
         F.when(F.col("l_suppkey") % 3 == 2, 10).otherwise(12).alias("weight"), F.round(F.col("l_discount") * 100).cast("int").alias("contamination"),
-        F.explode(F.create_map(*[x for k in SAID_FIELDS for x in (F.lit(k), values[k])])).alias("field", "value"),
+        (F.col("l_suppkey") % 4).cast("tinyint").alias("way"), F.floor(F.round(F.col("p_retailprice") * 100)).cast("bigint").alias("cents"), "p_brand", "p_type", "p_size",
+    )
+    # an order has few lines, so nothing combines before they meet: they are dealt once, as one row for all fields, and stay where they are
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    said = answers.repartition(n, "screen").select(
+        "screen", "ord", "weight", "contamination", F.explode(F.create_map(*[x for k in SAID_FIELDS for x in (F.lit(k), values[k])])).alias("field", "value"),
     )
     return select_fields(said, "screen")
 

@@ -30,3 +30,10 @@ def test_quality_tenths(spark):
     for field, value, want in cases:
         df = spark.createDataFrame([(value,)], "x string")
         assert df.select(rules.quality_tenths(field, F.col("x"))).first()[0] == want, (field, value)
+
+
+def test_selected_fields_shuffle_a_line_once(spark, small):
+    """A screen's answers are dealt as one row for all fields, and not again by field and value."""
+    plan = rules.field_selection(spark, small)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    assert sum("screen" in x for x in dealt) == 1 and not any("field" in x for x in dealt), plan
