@@ -36,7 +36,8 @@ def _leaves(document: str | None) -> Iterator[tuple[list[str], str]]:
 
 def paths(documents: DataFrame, key: str, order: str, document: str) -> DataFrame:
     """(key, layer, path, value): a row for each value in a document; layers are in the order of `order`, then of the text."""
-    layer = F.struct(F.col(order).alias("order"), F.md5(F.coalesce(document, F.lit(""))).alias("text"))
+    # the digest as bytes: the order of its digits in half the room
+    layer = F.struct(F.col(order).alias("order"), F.unhex(F.md5(F.coalesce(document, F.lit("")))).alias("text"))
     df = documents.select(F.col(key).alias("key"), layer.alias("layer"), F.col(document).alias("document"))
     out = T.StructType([df.schema["key"], df.schema["layer"], T.StructField("path", T.ArrayType(T.StringType())), T.StructField("value", T.StringType())])
 

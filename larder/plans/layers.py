@@ -17,7 +17,10 @@ from larder.sources import buckets
 
 def layered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the votes on a product come to, each vote a document of one of three forms, the later over the earlier."""
-    votes = v.vote(spark, sf_dir)
+    # a product's votes are met as narrow rows, before documents are made of them: then each task sends one row for a product's path,
+    # and what it sorts is small
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    votes = v.vote(spark, sf_dir).select("product_id", "ord", "cents", "value", "other", "quantity").repartition(n, "product_id")
     form = (F.col("ord") % 3).cast("int")
     at = F.col("ord") * 100_000_000 + F.col("cents")  # some votes share their number
     document = (
@@ -25,7 +28,7 @@ def layered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 1, F.to_json(F.struct(F.col("cents").alias("price"), F.struct(F.struct("quantity").alias("last")).alias("seen"))))
         .otherwise(F.concat(F.lit('{"price":{"unit":"'), "other", F.lit('"},"seen":{}}')))
     )
-    laid = documents(overlaid(votes.withColumns({"document": document, "at": at}), "product_id", "at", "document"))
+    laid = documents(overlaid(votes.select("product_id", at.alias("at"), document.alias("document")), "product_id", "at", "document"))
     return laid.select(F.col("key").alias("product_id"), "document")
 
 

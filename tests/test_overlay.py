@@ -50,3 +50,19 @@ def test_one_key_of_many_layers(spark):
     df = spark.range(50_000).selectExpr("1 AS k", "id AS n", "to_json(named_struct('last', id, 'm', map(cast(id % 5 AS string), id), 'v', if(id % 1000 = 7, '1', null))) AS doc")
     got = json.loads(documents(overlaid(df, "k", "n", "doc")).first()["document"])
     assert got == {"last": 49_999, "m": {str(k): 49_995 + k for k in range(5)}, "v": "1"}
+
+
+def test_votes_meet_as_narrow_rows_before_documents_are_made(spark, small):
+    """The first shuffle has the votes' columns by product; paths and values come after it, so a task sends a row for a product's path."""
+    from larder.operators import overlay
+    from larder.plans import layers
+
+    seen = []
+    real, overlay.kept = overlay.kept, lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]) or real(df)
+    try:
+        layers.layered_documents(spark, small)
+    finally:
+        overlay.kept = real
+    (plan,) = seen
+    first = plan[plan.rindex("Exchange ") :]
+    assert "MapInArrow" in plan and "MapInArrow" not in first and "product_id" in first.splitlines()[0], plan
